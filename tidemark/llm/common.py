@@ -79,7 +79,7 @@ def arrow_map(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = to_arrow_schema(out, timezone="UTC")
+        schema = to_arrow_schema(out)
         pending: list[pa.RecordBatch] = []
 
         def feed() -> Iterator[list[pa.Array]]:
