@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, token_counts
+from . import bpe_codec, decontamination, quality_rules, token_counts, url_filters
 
 QUERIES = {
+    "op1_url_filters": url_filters.op1_url_filters,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op5_decontamination": decontamination.op5_decontamination,
     "op8_bpe_codec": bpe_codec.op8_bpe_codec,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filters": url_filters.OP1_SQL,
+    "op5_decontamination": decontamination.OP5_SQL,
+    "op3_quality_rules": quality_rules.OP3_SQL,
+}
