@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontamination, lm_scoring, quality_rules, token_counts, url_filters
+from . import bpe_codec, decontamination, lm_scoring, near_dedup, quality_rules, token_counts, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_decontamination": decontamination.op5_decontamination,
+    "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op8_bpe_codec": bpe_codec.op8_bpe_codec,
 }

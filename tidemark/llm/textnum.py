@@ -18,6 +18,8 @@ _CODES[65:91] = _CODES[97:123]  # A-Z hash as a-z
 _CODES[[0x20, *range(0x09, 0x0E)]] = 0  # white space adds nothing to the word before it
 _BASE = 0x9E3779B97F4A7C15
 _BLOCK = 1 << 20
+#: A slice of rows has at most 2**ROW_BITS of them.
+ROW_BITS = 15
 
 
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +121,7 @@ def word_chunks(array: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[slice,
     start, rows = 0, len(offsets) - 1
     while start < rows:
         stop = int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1
-        stop = min(max(stop, start + 1), rows)
+        stop = min(max(stop, start + 1), rows, start + (1 << ROW_BITS))
         part = offsets[start : stop + 1]
         yield slice(start, stop), words_of(data[part[0] : part[-1]], part - part[0])
         start = stop
