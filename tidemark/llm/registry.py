@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontamination, lm_scoring, near_dedup, quality_rules, token_counts, toxicity, url_filters
+from . import bpe_codec, decontamination, lm_scoring, near_dedup, pii, quality_rules, token_counts, toxicity, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op8_bpe_codec": bpe_codec.op8_bpe_codec,
+    "op9_pii": pii.op9_pii,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
