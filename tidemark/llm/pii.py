@@ -273,6 +273,7 @@ KINDS: list[tuple[str, str, Callable[[str, bytes, bool], str | None]]] = [
     ("date", r"(?<![\w./-])\d{2}\.\d{2}\.\d{4}(?![\w-]|\.\d)", _date("dmy")),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w]|-\d)", _card),
+    ("phone", r"(?<![\w.+])\+\d{1,3} \(\d{3}\) \d{3}-\d{4}(?![\w-])", _phone),
     ("phone", r"(?<![\w.+])\+\d{1,3}[\s.-]?(?:\(\d{1,4}\)[\s.-]?)?\d{2,4}(?:[\s.-]?\d{2,4}){1,4}(?![\w])", _phone),
     ("phone", r"(?<![\w.+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?![\w])", _phone),
     ("phone", r"(?<![\w.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])", _phone),
@@ -287,14 +288,14 @@ def rewrite(text: str, key: bytes, inverse: bool = False) -> tuple[str, list[tup
         return text, []
     out, spans, at, start = [], [], 0, 0
     while m := _FIND.search(text, start):
-        i = int(m.lastgroup[1:])
+        i, first = int(m.lastgroup[1:]), m.start()
         kind, _, permute = KINDS[i]
         new = permute(m.group(), key, inverse)
         if new is None:
             # not valid as this kind: another kind may match here
             new, m, kind = _others(text, m, i, key, inverse)
             if new is None:
-                start = m.end() if m.end() > m.start() else m.start() + 1
+                start = first + 1
                 continue
         out += [text[at : m.start()], new]
         spans.append((kind, m.start(), m.end()))
@@ -307,7 +308,7 @@ def _others(text: str, m: re.Match, tried: int, key: bytes, inverse: bool):
         other = re.compile(pattern).match(text, m.start())
         if other and (new := permute(other.group(), key, inverse)) is not None:
             return new, other, kind
-    return None, m, ""
+    return None, m, ""  # nothing valid starts here
 
 
 def _apply(df: DataFrame, key: bytes, text: str, spans_col: str | None, inverse: bool) -> DataFrame:

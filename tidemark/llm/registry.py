@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontamination, lm_scoring, near_dedup, pii, quality_rules, token_counts, toxicity, url_filters
+from . import bpe_codec, decontamination, lm_scoring, near_dedup, pii, quality_classifier, quality_rules, token_counts, toxicity, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
+    "op2_quality_classifier": quality_classifier.op2_quality_classifier,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_decontamination": decontamination.op5_decontamination,
