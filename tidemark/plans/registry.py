@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import oracle, queries
+
 FLAGSHIP = "feature_label_correlation"
+_NO_SQL = ("block_bootstrap_ci",)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: getattr(queries, name) for name in (*oracle.SQL, *_NO_SQL)}
+ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
