@@ -25,8 +25,9 @@ def complete(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
 
 
 def pearson(x: Column, y: Column) -> Column:
-    """Correlation; NULL below two rows or without variance."""
-    return F.when((F.count(x) >= 2) & (F.var_pop(x) > 0) & (F.var_pop(y) > 0), F.corr(x, y))
+    """Correlation of complete pairs; NULL below two rows or without variance (`corr` itself divides by zero there)."""
+    scale = F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y))
+    return F.when(F.count(x) >= 2, F.try_divide(F.covar_pop(x, y), scale))
 
 
 def correlations(df: DataFrame, keys: list[str], x: str = "x", y: str = "y") -> DataFrame:
@@ -101,7 +102,7 @@ def merged_correlation(parts: DataFrame, keys: list[str]) -> DataFrame:
     syy = F.sum("syy") + F.sum(F.col("n") * F.col("my") * F.col("my")) - n * my * my
     sxy = F.sum("sxy") + F.sum(F.col("n") * F.col("mx") * F.col("my")) - n * mx * my
     out = parts.groupBy(*keys).agg(n.alias("n"), sxx.alias("__xx"), syy.alias("__yy"), sxy.alias("__xy"))
-    r = F.col("__xy") / F.sqrt(F.col("__xx") * F.col("__yy"))
+    r = F.try_divide(F.col("__xy"), F.sqrt(F.greatest(F.lit(0.0), F.col("__xx")) * F.greatest(F.lit(0.0), F.col("__yy"))))
     return out.select(*keys, "n", F.when((F.col("n") >= 3) & (F.col("__xx") > 0) & (F.col("__yy") > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("correlation"))
 
 

@@ -14,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.checks import IntegrityError, content_equal
 
@@ -133,7 +134,7 @@ def compaction_bins(catalog: DataFrame, max_files: int = 100, max_bytes: int = 6
             out.append(own)
         return pdf.assign(bin=out)
 
-    return catalog.groupBy(*keys).applyInPandas(pack, catalog.schema.add("bin", "bigint"))
+    return catalog.groupBy(*keys).applyInPandas(pack, T.StructType([*catalog.schema.fields, T.StructField("bin", T.LongType())]))
 
 
 def compact(spark: SparkSession, source: str, destination: str, keys: list[str], order: str = "capture_seq", rows_per_file: int = 200_000) -> int:
