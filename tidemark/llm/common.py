@@ -50,6 +50,15 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df if len(kept) == len(df.columns) else df.select(*[quoted(c) for c in kept])
 
 
+def settled(verdict: Column) -> Column:
+    """``verdict``, computed where it stands: a later filter on it isn't pushed below.
+
+    Pushed down, a filter would carry copies of every expression the verdict rests on, inside
+    lambda functions even once per element.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, verdict)
+
+
 def schema_of(df: DataFrame, cols: list[str]) -> list[T.StructField]:
     return [df.schema[c] for c in cols]
 

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, read_table, without
+from .common import quoted, read_table, settled, without
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -142,7 +142,7 @@ def decontaminate(
         *[quoted(c) for c in rest],
         F.coalesce(F.array_sort(F.transform(found, lambda x: x["item"])), F.array().cast(f"array<{id_type.simpleString()}>")).alias("items"),
         F.coalesce(F.array_max(F.transform(found, lambda x: x["share"])), F.lit(0.0)).alias("max_containment"),
-        F.coalesce(F.size(found) > 0, F.lit(False)).alias("contaminated"),
+        settled(F.coalesce(F.size(found) > 0, F.lit(False))).alias("contaminated"),
     )
 
 

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, read_table, without
+from .common import quoted, read_table, settled, without
 
 _SPACE = r"[ \t\n\x0B\f\r]+"
 _SYMBOLS = r"[#*$%&|<>]"
@@ -148,7 +148,7 @@ def quality_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
         }
     )
     step = step.withColumns({"base_failed": (F.col("n_words") < 20) | (F.lit(100) * F.col("n_repeat_words") > F.lit(30) * F.col("n_words")), "failed_rules": _compile(rules)})
-    step = step.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+    step = step.withColumn("kept", settled(~F.col("base_failed") & (F.size("failed_rules") == 0)))
     return step.select(*[quoted(c) for c in rest], *OUTPUTS)
 
 
