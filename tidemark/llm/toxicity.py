@@ -10,7 +10,8 @@ the inverse root of the landmarks' own kernel matrix (Nyström); a linear suppor
 it is fitted with squared hinge loss and calibrated to (0, 1).
 
 The kernel with all landmarks is computed at once from the unit's character triples.  Units over
-``WINDOW`` characters are covered by overlapping windows.  Units seen are cached, in bounded space.
+``WINDOW`` characters are covered by overlapping windows; a unit with inner punctuation is also compared
+without it.  Units seen are cached, in bounded space.
 
 Training texts are a bounded, documented sample of the labelled rows (`TOXIC_SAMPLE`, `CLEAN_SAMPLE`, by a
 hash of the id); everything else covers all rows.
@@ -64,6 +65,15 @@ def chunks_of(text: str) -> list[str]:
 
 
 def windows(unit: str) -> list[str]:
+    """The strings a unit is compared by: itself, or windows that cover it, and the same without inner punctuation."""
+    if not unit.isalnum():
+        bare = "".join(c for c in unit if c.isalnum())
+        if ORDER <= len(bare) < len(unit):
+            return [*_cover(unit), *_cover(bare)]
+    return _cover(unit)
+
+
+def _cover(unit: str) -> list[str]:
     if len(unit) <= WINDOW:
         return [unit]
     return [unit[i : i + WINDOW] for i in range(0, len(unit) - WINDOW + STRIDE, STRIDE)]
