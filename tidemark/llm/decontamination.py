@@ -72,6 +72,14 @@ def items_with_sketches(items: DataFrame, item_id: str, text: str) -> DataFrame:
     return out.withColumn("sketch", F.filter("hashes", lambda h: F.shiftrightunsigned(h, 1) < F.pow(F.lit(2.0), F.lit(63) - F.col("scale"))))
 
 
+def _lookups(words: Column, width: int, scale: int, tagged: bool) -> Column:
+    """Hashes of a text's shingles that can be in a sketch of ``scale`` or above; ``tagged`` with their width."""
+    found = shingle_hashes(words, width)
+    if scale:
+        found = F.filter(found, lambda h: F.shiftrightunsigned(h, 1) < F.lit(1 << (63 - scale)))
+    return F.transform(found, lambda h: F.struct(F.lit(width).alias("width"), h.alias("h"))) if tagged else found
+
+
 def contaminated_texts(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, containment: float) -> DataFrame:
     """Candidate texts by (two hashes of the text): the items whose sketch they share, with shingles."""
     known = items_with_sketches(items, item_id, item_text)
@@ -79,12 +87,7 @@ def contaminated_texts(docs: DataFrame, items: DataFrame, text: str, item_id: st
     index = known.select("item", "width", F.explode("sketch").alias("h"))
     sized = known.select(F.col("item").alias("s_item"), F.col("width").alias("s_width"), F.col("item_shingles").alias("s_shingles"))
     body = docs.where(quoted(text).isNotNull()).select(*text_key(quoted(text)), words_of(quoted(text)).alias("w"))
-    arrays = []
-    for row in sorted(shapes, key=lambda r: r["width"]):
-        found = shingle_hashes(F.col("w"), row["width"])
-        if row["scale"]:
-            found = F.filter(found, lambda h, s=row["scale"]: F.shiftrightunsigned(h, 1) < F.lit(1 << (63 - s)))
-        arrays.append(F.transform(found, lambda h, n=row["width"]: F.struct(F.lit(n).alias("width"), h.alias("h"))) if len(shapes) > 1 else found)
+    arrays = [_lookups(F.col("w"), row["width"], row["scale"], len(shapes) > 1) for row in sorted(shapes, key=lambda r: r["width"])]
     if not arrays:
         return body.select("__tm_k1", "__tm_k2", F.array().cast("array<struct<item:string,shingles:array<string>>>").alias("__tm_candidates")).limit(0)
     if len(arrays) > 1:
