@@ -69,7 +69,9 @@ def items_with_sketches(items: DataFrame, item_id: str, text: str) -> DataFrame:
     low = F.get(F.array_sort(F.transform("hashes", lambda h: F.shiftrightunsigned(h, 1))), F.lit(SKETCH_LEAST - 1))
     scale = F.when(low > 0, F.greatest(F.lit(0), F.lit(62) - F.floor(F.log2(low.cast("double"))).cast("int"))).otherwise(F.lit(0))
     out = out.withColumn("scale", scale)
-    return out.withColumn("sketch", F.filter("hashes", lambda h: F.shiftrightunsigned(h, 1) < F.pow(F.lit(2.0), F.lit(63) - F.col("scale"))))
+    # the scale is named twice, so that the optimiser keeps it a column and doesn't work it out per hash
+    own = F.filter("hashes", lambda h: F.shiftrightunsigned(h, 1) < F.pow(F.lit(2.0), F.lit(63) - F.col("scale")))
+    return out.withColumn("sketch", F.when(F.col("scale") >= 0, own))
 
 
 def _lookups(words: Column, width: int, scale: int, tagged: bool) -> Column:
