@@ -62,13 +62,13 @@ def shingle_hashes(words: Column, width: int) -> Column:
 def items_with_sketches(items: DataFrame, item_id: str, text: str) -> DataFrame:
     """One row per item: id, width of its shingles, the shingles, its scale and its sketch."""
     words = F.col("w")
-    out = items.select(quoted(item_id).alias("item"), words_of(quoted(text)).alias("w")).where(F.size("w") > 0)
-    out = out.withColumn("width", F.least(F.size("w"), F.lit(WIDTH))).withColumn("item_shingles", shingles(words, F.col("width")))
-    out = out.withColumn("hashes", F.transform("item_shingles", lambda s: F.xxhash64(s))).drop("w")
+    out = items.select(quoted(item_id).alias("item"), settled(words_of(quoted(text))).alias("w")).where(F.size("w") > 0)
+    out = out.withColumn("width", settled(F.least(F.size("w"), F.lit(WIDTH)))).withColumn("item_shingles", settled(shingles(words, F.col("width"))))
+    out = out.withColumn("hashes", settled(F.transform("item_shingles", lambda s: F.xxhash64(s)))).drop("w")
     # the largest scale that leaves SKETCH_LEAST hashes; the SKETCH_LEAST-th lowest hash decides
     low = F.get(F.array_sort(F.transform("hashes", lambda h: F.shiftrightunsigned(h, 1))), F.lit(SKETCH_LEAST - 1))
     scale = F.when(low > 0, F.greatest(F.lit(0), F.lit(62) - F.floor(F.log2(low.cast("double"))).cast("int"))).otherwise(F.lit(0))
-    out = out.withColumn("scale", scale)
+    out = out.withColumn("scale", settled(scale))
     # the scale is named twice, so that the optimiser keeps it a column and doesn't work it out per hash
     own = F.filter("hashes", lambda h: F.shiftrightunsigned(h, 1) < F.pow(F.lit(2.0), F.lit(63) - F.col("scale")))
     return out.withColumn("sketch", F.when(F.col("scale") >= 0, own))
@@ -88,7 +88,7 @@ def contaminated_texts(docs: DataFrame, items: DataFrame, text: str, item_id: st
     shapes = known.groupBy("width").agg(F.min("scale").alias("scale")).collect()  # WIDTH rows at most
     index = known.select("item", "width", F.explode("sketch").alias("h"))
     sized = known.select(F.col("item").alias("s_item"), F.col("width").alias("s_width"), F.col("item_shingles").alias("s_shingles"))
-    body = docs.where(quoted(text).isNotNull()).select(*text_key(quoted(text)), words_of(quoted(text)).alias("w"))
+    body = docs.where(quoted(text).isNotNull()).select(*text_key(quoted(text)), settled(words_of(quoted(text))).alias("w"))
     arrays = [_lookups(F.col("w"), row["width"], row["scale"], len(shapes) > 1) for row in sorted(shapes, key=lambda r: r["width"])]
     if not arrays:
         return body.select("__tm_k1", "__tm_k2", F.array().cast("array<struct<item:string,shingles:array<string>>>").alias("__tm_candidates")).limit(0)
@@ -124,7 +124,7 @@ def decontaminate(
     candidates = contaminated_texts(df, items, text, item_id, item_text, containment)
     k1, k2 = text_key(quoted(text))
     joined = df.withColumns({"__tm_k1": k1, "__tm_k2": k2}).join(candidates, ["__tm_k1", "__tm_k2"], "left")
-    joined = joined.withColumn("__tm_words", F.when(F.col("__tm_candidates").isNotNull(), words_of(quoted(text))))
+    joined = joined.withColumn("__tm_words", settled(F.when(F.col("__tm_candidates").isNotNull(), words_of(quoted(text)))))
     joined = joined.withColumn(
         "__tm_shingles",
         F.when(
