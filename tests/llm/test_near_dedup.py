@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -97,3 +98,48 @@ def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)]
     got = {r["t"]: r["root"] for r in near_dedup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert all(got[i] == 0 for i in range(1, 61)) and got[101] == 100
+
+
+def crowd(rng, copies):
+    """Copies of one text, each edited at 3 of 14 places with words of its own: all share buckets, only the last
+    two, edited at the same places, are similar enough, and these share nothing that others don't."""
+    base = [rng.choice(VOCAB) for _ in range(150)]
+    places = rng.sample(list(combinations(range(14), 3)), copies - 1)
+    out = []
+    for i, edits in enumerate([*places, places[-1]]):
+        own = list(base)
+        for k in edits:
+            own[5 + 10 * k] = f"edit{i}x{k}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_classes_of_a_crowded_bucket_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", 100)
+    rng = random.Random(11)
+    texts = list(enumerate(t for _ in range(3) for t in crowd(rng, 300)))
+    got = near_dedup.near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: i - (i % 300 == 299) for i, _ in texts}
+
+
+def test_links_in_blocks_equal_all_pairs():
+    rng = random.Random(12)
+    base, texts = [rng.choice(VOCAB) for _ in range(150)], []
+    for _ in range(70):
+        own = list(base)
+        for k in rng.sample(range(20), 4):
+            own[5 + 7 * k] = f"edit{k}"
+        texts.append(" ".join(own + own[:14] * rng.choice([0, 0, 1, 2, 3])))
+    weights = [near_dedup.shingle_weights(t) for t in texts]
+    left, right = np.arange(40), np.arange(30, 70)
+
+    def parts(links):
+        root = list(range(70))
+        for a, b in links:
+            x, y = root[a], root[b]
+            root = [min(x, y) if r in (x, y) else r for r in root]
+        return root
+
+    want = parts([(i, j) for i in left for j in right if i != j and near_dedup.similarity(weights[i], weights[j]) >= 0.8])
+    got = near_dedup.block_links(pa.array(texts), np.arange(70), left, right, 0.8)
+    assert parts(got) == want and len(set(want)) not in (1, 70)

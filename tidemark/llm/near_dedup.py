@@ -10,9 +10,12 @@ index of the shingle sets.
 
 Equal texts are one node from the start, so a group of copies costs one signature.  In a bucket of
 up to ``SMALL_BUCKET`` texts all pairs are candidates; a text of larger ones is paired with the first text
-among them, and in later rounds each member of a bucket that spans several classes with another text of
-it, until a round finds no link.  So candidates grow with the rows of a bucket, not their square.  Classes are the components of the verified links, found by large-star and small-star
-steps; every intermediate is a table in the shared folder.
+among them.  Larger buckets that still span several classes are then closed: all their pairs across classes
+are compared, block by block, so that no task holds more than two blocks of a bucket.  The bucket's main class
+is compared with the other texts only.  A first closing takes each text in its largest bucket alone, which
+joins most classes; the second takes all buckets and leaves no pair that shares a band untried.  Classes are
+the components of the verified links, found by large-star and small-star steps; every intermediate is a table
+in the shared folder.
 
 Defined cases: null texts and texts without words are each a class of their own; texts of fewer
 than five words are one shingle of all their words; equal texts are one class; a class's id is its
@@ -29,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import arrow_map, materialize, quoted, read_table, without
 from .textnum import ROW_BITS, mix64, shingles_of, word_chunks, words_of
@@ -38,6 +42,10 @@ SIMILARITY = 0.8
 REGISTERS = 128
 BANDS = 32
 SMALL_BUCKET = 4
+#: Texts and bytes of text in a block of a large bucket, about.
+BLOCK_TEXTS = 1024
+BLOCK_BYTES = 8 << 20
+_COLUMNS = 1 << 12
 _CHUNK = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -185,7 +193,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _candidates(members: DataFrame) -> DataFrame:
-    """First-round pairs of the buckets ``members`` (band, t, n): each text of larger buckets with the first text it
+    """First pairs of the buckets ``members`` (band, t, n): each text of larger buckets with the first text it
     shares one with, and all pairs of small buckets."""
     large = members.where(F.col("n") > SMALL_BUCKET)
     firsts = large.groupBy("band").agg(F.min("t").alias("first"))
@@ -195,19 +203,117 @@ def _candidates(members: DataFrame) -> DataFrame:
     return star.unionByName(pairs).distinct()
 
 
-def _later_candidates(members: DataFrame, roots: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
-    """Pairs across classes not tried yet: members of larger buckets that span several classes against another text of the bucket.
+def _block_weights(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, shingle's number, weight) of the distinct shingles of each text, in order of row and number."""
+    hashes, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for part, words in word_chunks(texts, _CHUNK):
+        own, bounds = shingles_of(words, WIDTH)
+        hashes.append(own)
+        rows.append(part.start + np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)))
+    every, number = np.unique(np.concatenate(hashes), return_inverse=True)
+    key, weight = np.unique(np.concatenate(rows) * max(1, len(every)) + number, return_counts=True)
+    return key // max(1, len(every)), key % max(1, len(every)), weight
+
+
+def _overlaps(row: np.ndarray, item: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair of ``left`` and ``right`` the number of common shingles, and a bound of J_P: the smaller
+    of the shares of weight that either text has in common shingles."""
+    common = np.zeros((len(left), len(right)), np.float32)
+    share_l, share_r = (common, common) if (weight == 1).all() else (np.zeros_like(common), np.zeros_like(common))
+    total = np.bincount(row, weights=weight, minlength=rows)
+    several = np.bincount(item)[item] > 1 if len(item) else np.zeros(0, bool)
+    order = np.flatnonzero(several)[np.argsort(item[several], kind="stable")]
+    row, weight = row[order], weight[order]
+    column = np.unique(item[order], return_inverse=True)[1]
+    width = int(column[-1]) + 1 if len(column) else 0
+    for start in range(0, width, _COLUMNS):
+        lo, hi = np.searchsorted(column, [start, start + _COLUMNS])
+        has = np.zeros((rows, min(_COLUMNS, width - start)), np.float32)
+        has[row[lo:hi], column[lo:hi] - start] = 1
+        common += has[left] @ has[right].T
+        if share_l is not common:
+            mass = np.zeros_like(has)
+            mass[row[lo:hi], column[lo:hi] - start] = weight[lo:hi] / total[row[lo:hi]]
+            share_l += mass[left] @ has[right].T
+            share_r += has[left] @ mass[right].T
+    return common, np.minimum(share_l, share_r)
+
+
+def block_links(texts: pa.Array, roots: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links between rows of ``left`` and of ``right`` that join all their classes that any pair's similarity joins."""
+    row, item, weight = _block_weights(texts)
+    size = np.bincount(row, minlength=len(texts))
+    repeats = np.bincount(row, weights=weight > 1, minlength=len(texts)) > 0
+    common, bound = _overlaps(row, item, weight, left, right, len(texts))
+    union = size[left][:, None] + size[right][None, :] - common.astype(np.int64)
+    plain = common.astype(float) / np.maximum(union, 1)
+    apart = roots[left][:, None] != roots[right][None, :]
+    sure = apart & (plain >= threshold)
+    # where neither text repeats a shingle J_P is the Jaccard index; else it is computed if its bound allows
+    maybe = apart & ~sure & (repeats[left][:, None] | repeats[right][None, :]) & (bound >= threshold - 1e-4)
+    head = {r: r for r in set(roots.tolist())}
+
+    def find(x: int) -> int:
+        while head[x] != x:
+            head[x] = head[head[x]]
+            x = head[x]
+        return x
+
+    bounds = np.searchsorted(row, np.arange(len(texts) + 1))
+    weights = lambda r: (item[bounds[r] : bounds[r + 1]], weight[bounds[r] : bounds[r + 1]].astype(float))
+    out = []
+    for pairs, known in ((sure, True), (maybe, False)):
+        for i, j in zip(*(x.tolist() for x in np.nonzero(pairs)), strict=True):
+            a, b = int(left[i]), int(right[j])
+            x, y = find(int(roots[a])), find(int(roots[b]))
+            if x != y and (known or similarity(weights(a), weights(b)) >= threshold):
+                head[max(x, y)] = min(x, y)
+                out.append((a, b))
+    return out
+
+
+def _closed(threshold: float):
+    def run(table: pa.Table) -> pa.Table:
+        t, roots = table["t"].to_numpy(), table["root"].to_numpy()
+        near = table["near"].to_numpy().astype(bool)
+        # the first block of the main class stands for the pairs inside the near block too
+        both = table["main"][0].as_py() and table["j"][0].as_py() == 0
+        left, right = np.flatnonzero(near), np.arange(len(t)) if both else np.flatnonzero(~near)
+        links = np.array(block_links(table["text"].combine_chunks(), roots, left, right, threshold), np.int64).reshape(-1, 2)
+        return pa.table({"a": t[links[:, 0]], "b": t[links[:, 1]]})
 
-    Small buckets have no pair left to try.
+    return run
+
+
+def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of larger buckets with their classes; small buckets have no pair left to try."""
+    return members.where(F.col("n") > SMALL_BUCKET).select("t", "band", "size", "n").join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
+
+
+def _closing_links(placed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join the classes in each bucket of ``placed``: every pair across classes is compared.
+
+    Texts outside a bucket's main class (near) and those in it are dealt into blocks; every two near blocks
+    meet, and every near block meets every block of the main class.
     """
-    placed = members.where(F.col("n") > SMALL_BUCKET).join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
-    spans = (
-        placed.groupBy("band")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min_by(F.struct("t", "root"), F.xxhash64("t", "band", F.lit(turn))).alias("pick"))
-        .where("low != high")
+    classes = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("size").alias("s"), F.bit_xor(F.xxhash64("t")).alias("who"))
+    spans = classes.groupBy("band").agg(
+        F.count(F.lit(1)).alias("roots"), F.sum("c").alias("n"), F.sum("s").alias("bytes"), F.bit_xor("who").alias("who"), F.max(F.struct("c", "root", "s")).alias("top")
     )
-    pairs = placed.join(spans, "band").where("root != pick.root").select(F.greatest("t", F.col("pick.t")).alias("a"), F.least("t", F.col("pick.t")).alias("b")).distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    # buckets of the same texts are one
+    spans = spans.where("roots > 1").groupBy("who", "n").agg(F.min(F.struct("band", "bytes", "top")).alias("one")).select("n", "one.*")
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK_TEXTS), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+    spans = spans.select("band", F.col("top.root").alias("top"), blocks(F.col("n") - F.col("top.c"), F.col("bytes") - F.col("top.s")).alias("nears"), blocks(F.col("top.c"), F.col("top.s")).alias("mains"))
+    rows = placed.select("t", "band", "root").join(spans, "band").withColumn("near", F.col("root") != F.col("top"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("t"), F.when(F.col("near"), F.col("nears")).otherwise(F.col("mains"))).cast("int"))
+    meet = lambda i, j, main, near: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(main).alias("main"), near.alias("near"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    block = F.col("block")
+    among = F.transform(F.filter(upto(F.col("nears")), lambda k: k != block), lambda k: meet(F.least(k, block), F.greatest(k, block), False, block < k))
+    near = F.concat(F.transform(upto(F.col("mains")), lambda k: meet(block, k, True, F.lit(True))), among)
+    main = F.transform(upto(F.col("nears")), lambda k: meet(k, block, True, F.lit(False)))
+    rows = rows.select("t", "band", "root", F.explode(F.when(F.col("near"), near).otherwise(main)).alias("m")).select("t", "band", "root", "m.*")
+    return rows.join(texts, "t").groupBy("band", "i", "j", "main").applyInArrow(_closed(threshold), "a long, b long")
 
 
 def text_classes(df: DataFrame, id_col: str, text: str, threshold: float = SIMILARITY) -> DataFrame:
@@ -217,26 +323,25 @@ def text_classes(df: DataFrame, id_col: str, text: str, threshold: float = SIMIL
     """
     k1, k2 = _text_key(quoted(text))
     narrow = df.where(quoted(text).isNotNull()).select(quoted(text).alias("text"), quoted(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"))
-    signed = arrow_map(narrow, [F.col("text")], ["k1", "k2", "id"], [T.StructField("bands", T.ArrayType(T.LongType()))], _signatures)
+    signed = arrow_map(narrow.withColumn("size", F.octet_length("text").cast("long")), [F.col("text")], ["k1", "k2", "id", "size"], [T.StructField("bands", T.ArrayType(T.LongType()))], _signatures)
     # rows of one text have one signature; any of them stands for all
-    nodes = signed.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.max("bands").alias("bands")).where(F.size("bands") > 0)
+    nodes = signed.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.max("size").alias("size"), F.max("bands").alias("bands")).where(F.size("bands") > 0)
     nodes = materialize(nodes.withColumn("t", F.monotonically_increasing_id()), "dup-nodes")
-    members = nodes.select("t", F.explode("bands").alias("band"))
+    members = nodes.select("t", "size", F.explode("bands").alias("band"))
     members = materialize(members.join(members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "band"), "dup-buckets")
     wanted = members.select("t").distinct().join(nodes.select("t", "k1", "k2", "id"), "t")
     texts = narrow.join(wanted.select("t", F.col("k1").alias("w1"), F.col("k2").alias("w2"), F.col("id").alias("w_id")), (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")) & F.col("id").eqNullSafe(F.col("w_id")))
     texts = materialize(texts.select("t", "text"), "dup-texts")
-    tried = materialize(_candidates(members), "dup-pairs")
-    roots = components(_verified(tried, texts, threshold).distinct())
-    turn = 1
-    while True:
-        pairs = materialize(_later_candidates(members, roots, tried, turn), "dup-pairs")
-        more = materialize(_verified(pairs, texts, threshold).distinct(), "dup-links")
-        if more.isEmpty():
-            break
-        tried = tried.unionByName(pairs)
-        roots = components(roots.select(F.col("t").alias("a"), F.col("root").alias("b")).unionByName(more))
-        turn += 1
+    pairs = materialize(_candidates(members), "dup-pairs")
+    roots = components(_verified(pairs, texts, threshold).distinct())
+    largest = Window.partitionBy("t").orderBy(F.col("n").desc(), "band")
+    for first in (True, False):
+        placed = _placed(members, roots)
+        if first:
+            placed = placed.withColumn("place", F.row_number().over(largest)).where("place = 1")
+        more = materialize(_closing_links(placed, texts, threshold), "dup-links")
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("t").alias("a"), F.col("root").alias("b")).unionByName(more))
     placed = nodes.select("k1", "k2", "t", "id").join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
     # the class's text is the one with the smallest id, then the lowest node
     head = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("t").alias("t"))).alias("h"), F.count(F.lit(1)).alias("class_texts"))
