@@ -143,3 +143,17 @@ def test_links_in_blocks_equal_all_pairs():
     want = parts([(i, j) for i in left for j in right if i != j and near_dedup.similarity(weights[i], weights[j]) >= 0.8])
     got = near_dedup.block_links(pa.array(texts), np.arange(70), left, right, 0.8)
     assert parts(got) == want and len(set(want)) not in (1, 70)
+
+
+def test_copies_with_a_repeated_line_share_a_band():
+    rng = random.Random(13)
+    shared = 0
+    for _ in range(40):
+        words = [rng.choice(VOCAB) for _ in range(104)]
+        own = " ".join(words)
+        pair = [own, f"{own} {' '.join(words[30:44] * 20)}"]
+        assert near_dedup.similarity(*[near_dedup.shingle_weights(t) for t in pair]) >= 0.8
+        ((_, w),) = textnum.word_chunks(pa.array(pair))
+        bands, ends = near_dedup.signature_bands(*textnum.shingles_of(w))
+        shared += bool(set(bands[: ends[1]].tolist()) & set(bands[ends[1] :].tolist()))
+    assert shared == 40

@@ -6,7 +6,8 @@ arrives first, and a shingle stops as soon as its next arrival is later than eve
 (early termination).  Two signatures agree in a register with probability J_P, the probability
 Jaccard similarity.  128 registers make 32 bands of 4; texts that share a band are candidates, and
 candidates are verified on their shingles: similarity is the exact J_P or, if larger, the Jaccard
-index of the shingle sets.
+index of the shingle sets.  A text that repeats a shingle has the bands of its plain set besides, so a copy
+with repeated lines is a candidate too.
 
 Equal texts are one node from the start, so a group of copies costs one signature.  In a bucket of
 up to ``SMALL_BUCKET`` texts all pairs are candidates; a text of larger ones is paired with the first text
@@ -135,15 +136,29 @@ def shingle_weights(text: str) -> tuple[np.ndarray, np.ndarray]:
     return own, weight.astype(float)
 
 
+def signature_bands(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(band hashes, bounds) of rows of shingles: bands of the weighted signature and, where a shingle repeats,
+    also of the plain set's, so that what either similarity accepts is a candidate."""
+    n = len(bounds) - 1
+    row, item, weight = weighted_shingles(hashes, bounds)
+    full = np.diff(bounds) > 0
+    again = np.zeros(n, dtype=bool)
+    again[row[weight > 1]] = True
+    on = again[row]
+    plain = prob_minhash((np.cumsum(again) - 1)[row[on]], item[on], np.ones(int(on.sum())), int(again.sum()))
+    ends = np.concatenate([[0], np.cumsum(full * BANDS + again * BANDS)])
+    out = np.zeros(int(ends[-1]), dtype=np.int64)
+    each = np.arange(BANDS)
+    out[ends[:-1][full][:, None] + each] = band_hashes(prob_minhash(row, item, weight, n)[full])
+    out[ends[:-1][again][:, None] + BANDS + each] = band_hashes(plain)
+    return out, ends
+
+
 def _signatures(batches):
     for (array,) in batches:
         for rows, words in word_chunks(array, _CHUNK):
-            hashes, bounds = shingles_of(words, WIDTH)
-            n = len(bounds) - 1
-            sig = prob_minhash(*weighted_shingles(hashes, bounds), n)
-            full = np.diff(bounds) > 0
-            ends = np.concatenate([[0], np.cumsum(full * BANDS)])
-            yield rows, [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(band_hashes(sig[full]).ravel()))]
+            bands, ends = signature_bands(*shingles_of(words, WIDTH))
+            yield rows, [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bands))]
 
 
 def _verify(threshold: float):
@@ -327,7 +342,7 @@ def text_classes(df: DataFrame, id_col: str, text: str, threshold: float = SIMIL
     # rows of one text have one signature; any of them stands for all
     nodes = signed.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.max("size").alias("size"), F.max("bands").alias("bands")).where(F.size("bands") > 0)
     nodes = materialize(nodes.withColumn("t", F.monotonically_increasing_id()), "dup-nodes")
-    members = nodes.select("t", "size", F.explode("bands").alias("band"))
+    members = nodes.select("t", "size", F.explode(F.array_distinct("bands")).alias("band"))
     members = materialize(members.join(members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "band"), "dup-buckets")
     wanted = members.select("t").distinct().join(nodes.select("t", "k1", "k2", "id"), "t")
     texts = narrow.join(wanted.select("t", F.col("k1").alias("w1"), F.col("k2").alias("w2"), F.col("id").alias("w_id")), (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")) & F.col("id").eqNullSafe(F.col("w_id")))
