@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -22,6 +23,7 @@ def signatures(texts):
 
 def j_p(a: Counter, b: Counter) -> float:
     every = set(a) | set(b)
+    a, b = (defaultdict(int, {k: 1 + math.log(n) for k, n in x.items()}) for x in (a, b))
     return sum(1 / sum(max(a[y] / a[x], b[y] / b[x]) for y in every) for x in set(a) & set(b))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,10 +22,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (local tests) a temporary folder is used.
+    Where the session names none a temporary folder is used in local mode (tests); on a cluster
+    that is an error, for executors would each write to a disk of their own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir isn't set, and {master} has no folder of its own that all executors share")
         named = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -38,6 +43,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one computation, deleted from the shared folder as soon as others replace them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.root = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+        self.made = 0
+
+    def table(self, df: DataFrame) -> DataFrame:
+        """``df``, written and read back."""
+        path = f"{self.root}/{self.made}"
+        self.made += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, first: int, last: int) -> None:
+        """Delete the tables number ``first`` to ``last`` (not included)."""
+        jvm = self.spark._jvm
+        for k in range(first, last):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{k}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def quoted(name: str) -> Column:
     """A column by its literal name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")

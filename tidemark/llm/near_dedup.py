@@ -1,10 +1,12 @@
 """Near-duplicate classes by ProbMinHash over weighted word shingles.
 
-A text is the set of its five-word shingles, weighted by how often each occurs.  Every shingle is a
+A text is the set of its five-word shingles; one that occurs n times weighs 1 + ln n, so that a line
+repeated hundreds of times doesn't outweigh the rest of its text.  Every shingle is a
 Poisson process of its weight whose arrivals fall on registers; a register keeps the shingle that
 arrives first, and a shingle stops as soon as its next arrival is later than every register's
 (early termination).  Two signatures agree in a register with probability J_P, the probability
-Jaccard similarity.  128 registers make 32 bands of 4; texts that share a band are candidates, and
+Jaccard similarity.  Registers make 36 bands of 7: two texts of similarity 0.8 share none with probability
+0.0002, two of 0.5 share one with 0.25.  Texts that share a band are candidates, and
 candidates are verified on their shingles: similarity is the exact J_P or, if larger, the Jaccard
 index of the shingle sets.  A text that repeats a shingle has the bands of its plain set besides, so a copy
 with repeated lines is a candidate too.
@@ -16,7 +18,7 @@ are compared, block by block, so that no task holds more than two blocks of a bu
 is compared with the other texts only.  A first closing takes each text in its largest bucket alone, which
 joins most classes; the second takes all buckets and leaves no pair that shares a band untried.  Classes are
 the components of the verified links, found by large-star and small-star steps; every intermediate is a table
-in the shared folder.
+in the shared folder, deleted when it is no longer needed.
 
 Defined cases: null texts and texts without words are each a class of their own; texts of fewer
 than five words are one shingle of all their words; equal texts are one class; a class's id is its
@@ -35,13 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import arrow_map, materialize, quoted, read_table, without
+from .common import Scratch, arrow_map, quoted, read_table, without
 from .textnum import ROW_BITS, mix64, shingles_of, word_chunks, words_of
 
 WIDTH = 5
 SIMILARITY = 0.8
-REGISTERS = 128
-BANDS = 32
+#: A power of two; the first BANDS * BAND_ROWS of them make bands.
+REGISTERS = 256
+BANDS, BAND_ROWS = 36, 7
 SMALL_BUCKET = 4
 #: Texts and bytes of text in a block of a large bucket, about.
 BLOCK_TEXTS = 1024
@@ -60,11 +63,16 @@ def weighted_shingles(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarra
     if not len(key):
         return np.zeros(0, np.int64), key, np.zeros(0)
     heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    weight = np.diff(np.append(heads, len(key))).astype(float)
+    weight = weight_of(np.diff(np.append(heads, len(key))))
     key = key[heads]
     return (key >> (np.uint64(64) - bits)).astype(np.int64), key << bits, weight
 
 
+def weight_of(count: np.ndarray) -> np.ndarray:
+    """Weights of shingles that occur so often."""
+    return 1.0 + np.log(count)
+
+
 def prob_minhash(row: np.ndarray, item: np.ndarray, weight: np.ndarray, rows: int, registers: int = REGISTERS) -> np.ndarray:
     """Signatures (rows x registers): the item that arrives first at each register; 0 for empty rows.
 
@@ -96,10 +104,10 @@ def prob_minhash(row: np.ndarray, item: np.ndarray, weight: np.ndarray, rows: in
     return sig.reshape(rows, registers)
 
 
-def band_hashes(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
+def band_hashes(sig: np.ndarray, bands: int = BANDS, width: int = BAND_ROWS) -> np.ndarray:
     """One hash per row and band."""
-    rows, registers = sig.shape
-    part = sig.reshape(rows, bands, registers // bands)
+    rows = len(sig)
+    part = sig[:, : bands * width].reshape(rows, bands, width)
     acc = np.broadcast_to(mix64(np.arange(1, bands + 1, dtype=np.uint64)), (rows, bands)).copy()
     for k in range(part.shape[2]):
         acc = mix64(acc * _STEP + part[:, :, k])
@@ -132,8 +140,8 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def shingle_weights(text: str) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     hashes, _ = shingles_of(words_of(data, np.array([0, len(data)])), WIDTH)
-    own, weight = np.unique(hashes, return_counts=True)
-    return own, weight.astype(float)
+    own, count = np.unique(hashes, return_counts=True)
+    return own, weight_of(count)
 
 
 def signature_bands(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,9 +196,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(threshold), "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(t, root) of every node of ``edges`` (a, b): root is the smallest node of its component."""
-    tables = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
+    scratch = scratch or Scratch(edges.sparkSession, "components")
+    first = scratch.made
+    tables = scratch.table(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
     while True:
         both = tables.unionByName(tables.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -200,13 +210,24 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: u and its neighbours below join the lowest of them
         floor = big.groupBy("u").agg(F.min("v").alias("m"))
         small = big.join(floor, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(floor.select("u", F.col("m").alias("v"))).distinct()
-        tables = materialize(small, "cc")
+        tables = scratch.table(small)
         now = tables.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        scratch.drop(first, scratch.made - 1)
+        first = scratch.made - 1
         if now == seen:
             return tables.select(F.col("u").alias("t"), F.col("v").alias("root"))
         seen = now
 
 
+def _merged(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``roots`` (t, root) after new ``links`` (a, b): only the classes that the links touch are put together anew."""
+    at = lambda side: links.select(F.col(side).alias("t")).distinct().join(roots, "t", "left").select(F.col("t").alias(side), F.coalesce("root", "t").alias(f"root_{side}"))
+    classes = components(links.join(at("a"), "a").join(at("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), scratch)
+    classes = classes.select(F.col("t").alias("root"), F.col("root").alias("top"))
+    every = roots.unionByName(classes.select(F.col("root").alias("t"), "root"))
+    return scratch.table(every.join(classes, "root", "left").select("t", F.coalesce("top", "root").alias("root")).where("t != root"))
+
+
 def _candidates(members: DataFrame) -> DataFrame:
     """First pairs of the buckets ``members`` (band, t, n): each text of larger buckets with the first text it
     shares one with, and all pairs of small buckets."""
@@ -226,8 +247,8 @@ def _block_weights(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         hashes.append(own)
         rows.append(part.start + np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)))
     every, number = np.unique(np.concatenate(hashes), return_inverse=True)
-    key, weight = np.unique(np.concatenate(rows) * max(1, len(every)) + number, return_counts=True)
-    return key // max(1, len(every)), key % max(1, len(every)), weight
+    key, count = np.unique(np.concatenate(rows) * max(1, len(every)) + number, return_counts=True)
+    return key // max(1, len(every)), key % max(1, len(every)), weight_of(count)
 
 
 def _overlaps(row: np.ndarray, item: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -275,7 +296,7 @@ def block_links(texts: pa.Array, roots: np.ndarray, left: np.ndarray, right: np.
         return x
 
     bounds = np.searchsorted(row, np.arange(len(texts) + 1))
-    weights = lambda r: (item[bounds[r] : bounds[r + 1]], weight[bounds[r] : bounds[r + 1]].astype(float))
+    weights = lambda r: (item[bounds[r] : bounds[r + 1]], weight[bounds[r] : bounds[r + 1]])
     out = []
     for pairs, known in ((sure, True), (maybe, False)):
         for i, j in zip(*(x.tolist() for x in np.nonzero(pairs)), strict=True):
@@ -341,22 +362,26 @@ def text_classes(df: DataFrame, id_col: str, text: str, threshold: float = SIMIL
     signed = arrow_map(narrow.withColumn("size", F.octet_length("text").cast("long")), [F.col("text")], ["k1", "k2", "id", "size"], [T.StructField("bands", T.ArrayType(T.LongType()))], _signatures)
     # rows of one text have one signature; any of them stands for all
     nodes = signed.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.max("size").alias("size"), F.max("bands").alias("bands")).where(F.size("bands") > 0)
-    nodes = materialize(nodes.withColumn("t", F.monotonically_increasing_id()), "dup-nodes")
+    scratch = Scratch(df.sparkSession, "near-dup")
+    nodes = scratch.table(nodes.withColumn("t", F.monotonically_increasing_id()))
     members = nodes.select("t", "size", F.explode(F.array_distinct("bands")).alias("band"))
-    members = materialize(members.join(members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "band"), "dup-buckets")
+    members = scratch.table(members.join(members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "band"))
     wanted = members.select("t").distinct().join(nodes.select("t", "k1", "k2", "id"), "t")
     texts = narrow.join(wanted.select("t", F.col("k1").alias("w1"), F.col("k2").alias("w2"), F.col("id").alias("w_id")), (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")) & F.col("id").eqNullSafe(F.col("w_id")))
-    texts = materialize(texts.select("t", "text"), "dup-texts")
-    pairs = materialize(_candidates(members), "dup-pairs")
-    roots = components(_verified(pairs, texts, threshold).distinct())
+    texts = scratch.table(texts.select("t", "text"))
+    pairs = scratch.table(_candidates(members))
+    roots, kept = components(_verified(pairs, texts, threshold), scratch), scratch.made - 1
+    scratch.drop(3, kept)
     largest = Window.partitionBy("t").orderBy(F.col("n").desc(), "band")
     for first in (True, False):
         placed = _placed(members, roots)
         if first:
             placed = placed.withColumn("place", F.row_number().over(largest)).where("place = 1")
-        more = materialize(_closing_links(placed, texts, threshold), "dup-links")
+        more = scratch.table(_closing_links(placed, texts, threshold))
         if not more.isEmpty():
-            roots = components(roots.select(F.col("t").alias("a"), F.col("root").alias("b")).unionByName(more))
+            old, roots, kept = kept, _merged(roots, more, scratch), scratch.made - 1
+            scratch.drop(old, kept)
+    scratch.drop(1, kept)
     placed = nodes.select("k1", "k2", "t", "id").join(roots, "t", "left").withColumn("root", F.coalesce("root", "t"))
     # the class's text is the one with the smallest id, then the lowest node
     head = placed.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("t").alias("t"))).alias("h"), F.count(F.lit(1)).alias("class_texts"))
