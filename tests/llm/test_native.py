@@ -78,6 +78,20 @@ def test_large_and_small_items_inside_long_texts(spark):
     assert all(got[i] == [i] for i, _ in items) and all(got[100 + i] == [] for i, _ in items)
 
 
+def test_many_items_share_a_passage_and_many_documents_a_text(spark):
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(3000)]
+    take = lambda n: [rng.choice(vocab) for _ in range(n)]
+    stock = take(30)
+    items = [(i, " ".join(stock + take(30))) for i in range(1000)] + [(None, "no id but five words"), (7, items_twin := " ".join(take(12)))]
+    docs = [(i, " ".join(take(100) + stock + take(100))) for i in range(50)] + [(100 + i, items[3][1]) for i in range(200)]
+    docs += [(500, f"x {items[5][1]} y {items[9][1]}"), (501, "no id but five words"), (502, items_twin.upper())]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r["doc_id"]: (r["items"], r["contaminated"]) for r in decontamination.decontaminate(spark.createDataFrame(docs, "doc_id bigint, text string"), table).collect()}
+    want = {i: ([], False) for i in range(50)} | {100 + i: ([3], True) for i in range(200)} | {500: ([5, 9], True), 501: ([None], True), 502: ([7], True)}
+    assert got == want
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     c = duckdb.connect()

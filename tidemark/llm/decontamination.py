@@ -10,11 +10,15 @@ that can be in some item's sketch (at the smallest scale in use) are looked up.
 
 Candidates are verified on the shingles themselves: ``|item & document| / |item|``, exactly.  An item
 of containment 0.8 with 16 or more sketch shingles is missed by the search only if each of them is
-among the absent fifth (less than 1e-11); an item whose sketch is whole is never missed.
+among the absent fifth (less than 1e-11); an item whose sketch is whole is never missed, and a text
+that holds too little of such a sketch is no candidate.
 
 Documents meet the items only through distinct sketch hashes; the item table is broadcast by
 Spark only where its measured size permits, and is shuffled on the hash otherwise.  Hits are
-summed in the map tasks per (text, item) before they are shuffled.
+made distinct per (text, item, hash) in the map tasks before they are shuffled.  Verification joins rows
+(text, shingle) of distinct candidate texts with rows (candidate, shingle) and counts them, so neither a
+passage that many items share nor a text that many documents repeat gathers in one row or task; verdicts are a
+table, joined to the documents by a shuffle that Spark can split where a text has many copies.
 
 Shingles are five lower-cased words; an item with fewer words is one shingle and matches texts
 that have those words in a row.
@@ -30,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import quoted, read_table, settled, without
+from .common import Scratch, quoted, read_table, settled, without
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -82,27 +86,37 @@ def _lookups(words: Column, width: int, scale: int, tagged: bool) -> Column:
     return F.transform(found, lambda h: F.struct(F.lit(width).alias("width"), h.alias("h"))) if tagged else found
 
 
-def contaminated_texts(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_text: str, containment: float) -> DataFrame:
-    """Candidate texts by (two hashes of the text): the items whose sketch they share, with shingles."""
-    known = items_with_sketches(items, item_id, item_text)
+def candidates(docs: DataFrame, known: DataFrame, text: str, containment: float) -> DataFrame:
+    """Pairs (__tm_k1, __tm_k2, i, width) of texts and items that may be contained in them."""
     shapes = known.groupBy("width").agg(F.min("scale").alias("scale")).collect()  # WIDTH rows at most
-    index = known.select("item", "width", F.explode("sketch").alias("h"))
-    sized = known.select(F.col("item").alias("s_item"), F.col("width").alias("s_width"), F.col("item_shingles").alias("s_shingles"))
+    index = known.select("i", "width", F.explode("sketch").alias("h"))
     body = docs.where(quoted(text).isNotNull()).select(*text_key(quoted(text)), settled(words_of(quoted(text))).alias("w"))
     arrays = [_lookups(F.col("w"), row["width"], row["scale"], len(shapes) > 1) for row in sorted(shapes, key=lambda r: r["width"])]
     if not arrays:
-        return body.select("__tm_k1", "__tm_k2", F.array().cast("array<struct<item:string,shingles:array<string>>>").alias("__tm_candidates")).limit(0)
+        return body.select("__tm_k1", "__tm_k2", F.lit(0).cast("bigint").alias("i"), F.lit(WIDTH).alias("width")).limit(0)
     if len(arrays) > 1:
         hits = body.select("__tm_k1", "__tm_k2", F.explode(F.concat(*arrays)).alias("x")).select("__tm_k1", "__tm_k2", "x.width", "x.h")
         hits = hits.join(index, ["width", "h"])
     else:
         hits = body.select("__tm_k1", "__tm_k2", F.explode(arrays[0]).alias("h")).join(index.drop("width"), "h")
-    pairs = hits.groupBy("__tm_k1", "__tm_k2", "item").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        pairs.join(sized, F.col("item").eqNullSafe(F.col("s_item")))
-        .groupBy("__tm_k1", "__tm_k2")
-        .agg(F.collect_list(F.struct(F.col("s_item").alias("item"), F.col("s_width").alias("width"), F.col("s_shingles").alias("shingles"))).alias("__tm_candidates"))
-    )
+    pairs = hits.select("__tm_k1", "__tm_k2", "i", "h").distinct().groupBy("__tm_k1", "__tm_k2", "i").agg(F.count(F.lit(1)).alias("n"))
+    sizes = known.select("i", "width", "scale", F.size("sketch").alias("sketch_size"))
+    # a whole sketch tells the containment; a hash too few is allowed for two shingles of one hash
+    enough = (F.col("scale") > 0) | (F.col("n") >= F.ceil(F.lit(containment) * F.col("sketch_size")) - 1)
+    return pairs.join(sizes, "i").where(enough).select("__tm_k1", "__tm_k2", "i", "width")
+
+
+def verified(docs: DataFrame, known: DataFrame, pairs: DataFrame, text: str, containment: float) -> DataFrame:
+    """The ``pairs`` with ``share`` (exact containment) where it suffices."""
+    keys = pairs.select("__tm_k1", "__tm_k2", "width").distinct()
+    body = docs.where(quoted(text).isNotNull()).select(*text_key(quoted(text)), quoted(text).alias("t"))
+    # all rows of one key have one text
+    texts = body.join(keys.select("__tm_k1", "__tm_k2").distinct(), ["__tm_k1", "__tm_k2"], "semi").groupBy("__tm_k1", "__tm_k2").agg(F.max("t").alias("t"))
+    own = texts.select("__tm_k1", "__tm_k2", settled(words_of(F.col("t"))).alias("w")).join(keys, ["__tm_k1", "__tm_k2"])
+    own = own.select("__tm_k1", "__tm_k2", "width", F.explode(shingles(F.col("w"), F.col("width"))).alias("s"))
+    asked = pairs.join(known.select("i", F.size("item_shingles").alias("size"), F.explode("item_shingles").alias("s")), "i")
+    share = F.count(F.lit(1)) / F.first("size")
+    return asked.join(own, ["__tm_k1", "__tm_k2", "width", "s"]).groupBy("__tm_k1", "__tm_k2", "i").agg(share.alias("share")).where(F.col("share") >= containment)
 
 
 def text_key(text: Column) -> list[Column]:
@@ -121,33 +135,22 @@ def decontaminate(
     """``df`` with ``items`` (ids of the benchmark items each text contains), ``containment`` and ``contaminated``."""
     outputs = ["items", "max_containment", "contaminated"]
     rest = without(df, outputs).columns
-    candidates = contaminated_texts(df, items, text, item_id, item_text, containment)
-    k1, k2 = text_key(quoted(text))
-    joined = df.withColumns({"__tm_k1": k1, "__tm_k2": k2}).join(candidates, ["__tm_k1", "__tm_k2"], "left")
-    joined = joined.withColumn("__tm_words", settled(F.when(F.col("__tm_candidates").isNotNull(), words_of(quoted(text)))))
-    joined = joined.withColumn(
-        "__tm_shingles",
-        F.when(
-            F.col("__tm_candidates").isNotNull(),
-            F.flatten(F.transform(F.array_distinct(F.transform("__tm_candidates", lambda c: c["width"])), lambda n: shingles(F.col("__tm_words"), n))),
-        ),
+    scratch = Scratch(df.sparkSession, "decontamination")
+    known = scratch.table(items_with_sketches(items, item_id, item_text).withColumn("i", F.monotonically_increasing_id()))
+    pairs = scratch.table(candidates(df, known, text, containment))
+    found = verified(df, known, pairs, text, containment).join(known.select("i", "item"), "i")
+    verdicts = found.groupBy(F.col("__tm_k1").alias("v_k1"), F.col("__tm_k2").alias("v_k2")).agg(
+        F.array_sort(F.collect_list(F.struct("item"))).alias("__tm_items"), F.max("share").alias("__tm_share")
     )
-    exact = F.filter(
-        F.transform(
-            "__tm_candidates",
-            lambda c: F.struct(c["item"].alias("item"), (F.size(F.array_intersect(c["shingles"], F.col("__tm_shingles"))) / F.size(c["shingles"])).alias("share")),
-        ),
-        lambda x: x["share"] >= F.lit(containment),
-    )
-    # named twice, so that the optimiser keeps the shingles a column and doesn't recompute them per candidate
-    joined = joined.withColumn("__tm_exact", F.when(F.col("__tm_shingles").isNotNull(), exact))
-    found = F.col("__tm_exact")
+    verdicts = scratch.table(verdicts)
+    k1, k2 = text_key(quoted(text))
+    joined = df.withColumns({"__tm_k1": k1, "__tm_k2": k2}).join(verdicts, (F.col("__tm_k1") == F.col("v_k1")) & (F.col("__tm_k2") == F.col("v_k2")), "left")
     id_type = items.schema[item_id].dataType
     return joined.select(
         *[quoted(c) for c in rest],
-        F.coalesce(F.array_sort(F.transform(found, lambda x: x["item"])), F.array().cast(f"array<{id_type.simpleString()}>")).alias("items"),
-        F.coalesce(F.array_max(F.transform(found, lambda x: x["share"])), F.lit(0.0)).alias("max_containment"),
-        settled(F.coalesce(F.size(found) > 0, F.lit(False))).alias("contaminated"),
+        F.coalesce(F.transform("__tm_items", lambda x: x["item"]), F.array().cast(f"array<{id_type.simpleString()}>")).alias("items"),
+        F.coalesce("__tm_share", F.lit(0.0)).alias("max_containment"),
+        settled(F.col("__tm_share").isNotNull()).alias("contaminated"),
     )
 
 
