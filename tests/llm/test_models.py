@@ -57,24 +57,75 @@ def test_base_score_and_held_out_gain(spark):
     assert sum(r["score"] for r in out) > 0.95 * sum(r["base_score"] for r in out)
 
 
-def test_next_token_probabilities_sum_to_one(spark):
-    rng = random.Random(7)
-    phrase = "alpha beta gamma delta epsilon zeta"
-    texts = [phrase + " " + " ".join(rng.choice("abcdefg") for _ in range(20)) for _ in range(60)] + [" ".join(rng.choice("abcdefg") for _ in range(30)) for _ in range(60)]
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
-    learned = lm_scoring.learn(df, head_words=11)
-    tree = learned.tree
-    assert any(level["kept"].any() for level in tree.levels)
-    for context in (["alpha"], ["beta", "gamma"], ["a", "b"], ["unseen"], ["c", "alpha"]):
-        ((_, w),) = word_chunks(pa.array([" ".join(context)]))
-        own = tree.symbols(w.hashes)
-        rows = np.array([[*own, s] for s in range(tree.size)])
-        place = np.tile(np.arange(rows.shape[1]), len(rows))
-        p = np.exp(tree.log_probs(rows.ravel(), place)[rows.shape[1] - 1 :: rows.shape[1]])
-        assert p.sum() == pytest.approx(1, abs=1e-9)
-    ((_, w),) = word_chunks(pa.array(["beta gamma"]))
-    sym = tree.symbols(w.hashes)
-    assert np.exp(tree.log_probs(sym, np.arange(2)))[1] > 0.5 > np.exp(tree.root[sym[1]])
+class SuffixTree:
+    """The tree in plain Python: n-grams as tuples of words."""
+
+    def __init__(self, texts, depth, least):
+        rows = [tokens(t) for t in texts]
+        self.depth, self.words = depth, Counter(w for r in rows for w in r)
+        self.total, self.z = sum(self.words.values()), sum(self.words.values()) + 0.1 * (len(self.words) + 1)
+        self.kept = {}
+        for d in range(1, depth + 1):
+            grams = Counter(tuple(r[i : i + d + 1]) for r in rows for i in range(len(r) - d))
+            seen = Counter(tuple(r[i : i + d]) for r in rows for i in range(len(r) - d + 1))
+            listed = {}
+            for g, c in grams.items():
+                if c >= least:
+                    listed.setdefault(g[:-1], {})[g[-1]] = c
+            new = {}
+            for x, own in listed.items():
+                parent = {w: self.p(x[1:], w) for w in own}
+                n, weight = seen[x], 1 + len(own)
+                free = 1 - sum(parent.values())
+                rest = (n - sum(own.values()) + weight * free) / (n + weight) / free
+                p = {w: (c + weight * parent[w]) / (n + weight) for w, c in own.items()}
+                gain = sum(c * math.log(p[w] / parent[w]) for w, c in own.items()) + (n - sum(own.values())) * math.log(rest)
+                if gain >= lm_scoring.LEAST_GAIN + lm_scoring.NATS_PER_ENTRY * len(own) and gain >= lm_scoring.MIN_DIVERGENCE * n:
+                    new[x] = p, rest
+            self.kept |= new
+
+    def p(self, context, w):
+        """Probability of ``w`` after ``context`` (its last ``depth`` tokens at most)."""
+        out = (self.words[w] + 0.1) / self.z
+        for d in range(1, min(self.depth, len(context)) + 1):
+            if (found := self.kept.get(tuple(context[len(context) - d :]))) is not None:
+                out = found[0].get(w, out * found[1])
+        return out
+
+    def score(self, text):
+        own = tokens(text)
+        return sum(math.log10(self.p(own[max(0, i - self.depth) : i], w)) for i, w in enumerate(own))
+
+
+def sentences(rng):
+    phrases = [" ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta".split()) for _ in range(rng.randint(4, 9))) for _ in range(6)]
+    words = [f"w{i}" for i in range(12)]
+    return [" ".join([rng.choice(phrases), *rng.choices(words, [2**-k for k in range(12)], k=rng.randint(0, 12)), rng.choice(phrases).upper()]) for _ in range(150)]
+
+
+@pytest.mark.parametrize("room", [(1 << 18, 1 << 20), (4, 7)])
+def test_score_equals_a_plain_suffix_tree(spark, monkeypatch, room):
+    monkeypatch.setattr(lm_scoring, "HEAD_WORDS", room[0])
+    monkeypatch.setattr(lm_scoring, "HEAD_GRAMS", room[1])
+    texts = sentences(random.Random(7))
+    tree = SuffixTree(texts, lm_scoring.DEPTH, lm_scoring.MIN_COUNT)
+    assert {len(x) for x in tree.kept} == set(range(1, lm_scoring.DEPTH + 1))
+    asked = [*texts[:40], *sentences(random.Random(8))[:40], "", None, "quite unknown words", "quite " * 50]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "doc_id bigint, text string")
+    got = lm_scoring.lm_scores(df, spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    for r in got:
+        assert r["score"] == pytest.approx(tree.score(asked[r["doc_id"]]), rel=1e-9)
+        assert r["n_known"] == sum(w in tree.words for w in tokens(asked[r["doc_id"]]))
+
+
+def test_next_token_probabilities_of_the_tree_sum_to_one():
+    tree = SuffixTree(sentences(random.Random(7)), lm_scoring.DEPTH, lm_scoring.MIN_COUNT)
+    for context in [*list(tree.kept)[:200], ("unseen",), ("w0", "alpha")]:
+        unknown = 0.1 / tree.z
+        for d in range(1, len(context) + 1):
+            if (found := tree.kept.get(tuple(context[len(context) - d :]))) is not None:
+                unknown *= found[1]
+        assert sum(tree.p(context, w) for w in tree.words) + unknown == pytest.approx(1)
 
 
 def brute_kernel(s, t, p=3, lam=toxicity.DECAY):

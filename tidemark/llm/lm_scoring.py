@@ -3,18 +3,25 @@
 Tokens are the words of a text (A-Z lower-cased) and one end.  The tree's root is the additively
 smoothed word distribution of the training texts; deeper states are contexts of the last one to
 ``depth`` tokens.  A context is kept only if its next-token distribution diverges from that of the
-next shorter kept context by more than its parameters cost (`MIN_DIVERGENCE`, `NATS_PER_ENTRY`),
+next shorter context by more than its parameters cost (`MIN_DIVERGENCE`, `NATS_PER_ENTRY`),
 so context lengths vary.  Next-token probabilities of a kept context are smoothed by its parent,
 and what the context doesn't list is left to the parent, scaled to sum to one.  A token is scored
 by the longest kept suffix of what precedes it.
 
-Counts cover every training text: words and n-grams are counted in the map tasks, summed in a
-shuffle by key.  What tasks hold at once is bounded: the ``head`` words of highest count are symbols
-of their own, the others share one symbol (their own probabilities still come from their exact
-counts, by a join), and a tree entry needs a relative frequency of ``p_min`` among training tokens,
-so a level has at most 1/p_min entries at any corpus size.
+Counts cover every training text, and the tree grows with them: a context lists every token that
+followed it at least ``MIN_COUNT`` times, whatever the size of the corpus.  An n-gram of so many occurrences has a
+beginning and an ending of as many, so each level needs only the n-grams whose two parts were listed.
+The tree is a table keyed by 64-bit hashes of n-grams; contexts are tested by grouping and joining it.
 
-Words are 64-bit hashes (see textnum).  Three scans of the texts plus one per level below the first.
+Scoring needs no walk: the log probability of a text is a sum over its n-grams.  Let L(x) be the log
+probability of the last token of n-gram x by its longest kept context.  Where the context c of x is kept,
+x adds L(x) - L(ending of x) if it is listed and the log of c's share left to its parent if not;
+all else adds nothing.  So every listed n-gram has one weight.  The weights of the n-grams (and the counts of
+the words) that occur most often go to every task, in tables of fixed size; the others are joined
+by their hashes, exactly.  A bitmap of fixed size keeps n-grams without a weight from that join; where the
+tree outgrows it more rows are joined, and no score changes.
+
+Words are 64-bit hashes (see textnum).  One scan of the texts for words, one per level, and one to score.
 
 Defined cases: null and empty texts are one end token; rows whose id is null are scored and not
 learned from; equal texts get equal scores (to rounding) and every row stays; with nothing to learn from every
@@ -25,8 +32,8 @@ others are passed through; texts of any length are scored whole.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,20 +41,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, materialize, quoted, read_table, without
+from .common import Scratch, arrow_map, quoted, read_table, without
 from .textnum import Words, mix64, word_chunks
 
-HEAD_WORDS = 1 << 18
-P_MIN = 2.0**-22
-DEPTH = 2
+DEPTH = 4
+#: An n-gram is listed from so many occurrences on.
+MIN_COUNT = 3
 ALPHA = 0.1
 #: A context's mean divergence from its parent (nats a token) and the nats an entry must earn.
 MIN_DIVERGENCE = 0.02
 NATS_PER_ENTRY = 1.0
 LEAST_GAIN = 4.0
+#: Words and n-grams of highest count that every task holds; bits of a bitmap.
+HEAD_WORDS, HEAD_GRAMS = 1 << 18, 1 << 20
+FILTER_BITS = 27
 END = np.uint64(0x656E642D6F662D74)
 #: Keys gathered in a task before they are reduced to distinct ones.
 GATHER = 1 << 21
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_PAIRS = "x long, s long, c long"
 
 
 class HashIndex:
@@ -55,7 +67,7 @@ class HashIndex:
 
     def __init__(self, keys: np.ndarray):
         self.keys = keys.astype(np.uint64)
-        bits = max(4, int(4 * len(keys) + 1).bit_length())
+        bits = max(4, int(2 * len(keys) + 1).bit_length())
         self.mask = np.uint64((1 << bits) - 1)
         self.slots = np.full(1 << bits, -1, dtype=np.int32)
         rest, step = np.arange(len(keys)), np.uint64(0)
@@ -67,6 +79,9 @@ class HashIndex:
             rest = rest[self.slots[at] != rest]
             step += np.uint64(1)
 
+    def __reduce__(self):
+        return HashIndex, (self.keys,)
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key; -1 where it isn't one."""
         keys = keys.astype(np.uint64, copy=False)
@@ -84,56 +99,24 @@ class HashIndex:
         return out
 
 
-@dataclass
-class Tree:
-    """The model as arrays.  ``levels[d]`` holds the n-grams of d + 2 tokens."""
-
-    head: HashIndex
-    root: np.ndarray  # ln probability of each symbol: head words, rare words together
-    tail: float  # ln probability of the symbol that stands for all rare words
-    levels: list[dict] = field(default_factory=list)
-
-    @property
-    def size(self) -> int:
-        return len(self.root)
-
-    def symbols(self, words: np.ndarray) -> np.ndarray:
-        found = self.head.find(words)
-        return np.where(found < 0, self.size - 1, found)
-
-    def nodes(self, sym: np.ndarray, place: np.ndarray, depth: int) -> list[np.ndarray]:
-        """For each length up to ``depth`` the node of the n-gram that ends at each token, -1 if none.
-
-        ``place`` is a token's number in its text.
-        """
-        out = [sym]
-        for d in range(1, depth):
-            before = np.full(len(sym), -1, dtype=np.int64)
-            before[1:] = out[-1][:-1]
-            before[place < d] = -1
-            known = np.flatnonzero(before >= 0)
-            node = np.full(len(sym), -1, dtype=np.int64)
-            node[known] = self.levels[d - 1]["index"].find(before[known] * self.size + sym[known])
-            out.append(node)
-        return out
+class Bitmap:
+    """A set of keys that may also hold others: one bit for each value of a key's last ``FILTER_BITS``."""
 
-    def log_probs(self, sym: np.ndarray, place: np.ndarray, depth: int | None = None) -> np.ndarray:
-        """ln probability of each token after its predecessors in the text."""
-        depth = len(self.levels) if depth is None else depth
-        out = self.root[sym]
-        if not depth or not len(sym):
-            return out
-        nodes = self.nodes(sym, place, depth)
-        for d in range(1, depth + 1):
-            ctx = np.full(len(sym), -1, dtype=np.int64)
-            ctx[1:] = nodes[d - 1][:-1]
-            ctx[place < d] = -1
-            at = np.flatnonzero(ctx >= 0)
-            level = self.levels[d - 1]
-            at = at[level["kept"][ctx[at]]]
-            child = level["index"].find(ctx[at] * self.size + sym[at])
-            out[at] = np.where(child >= 0, level["log_p"][child], out[at] + level["log_rest"][ctx[at]])
-        return out
+    def __init__(self, words: np.ndarray, values: np.ndarray):
+        self.bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+        self.bits[words] = values
+
+    @staticmethod
+    def of(keys: DataFrame, key: str = "k") -> Bitmap:
+        """The bitmap of a table's keys; what the driver receives is bounded by the bitmap's size."""
+        low = F.col(key).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+        words = keys.select(low.alias("b")).select(F.shiftrightunsigned("b", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("v"))
+        table = words.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
+        return Bitmap(table.column("w").to_numpy(), table.column("v").to_numpy().view(np.uint64))
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        low = keys & np.uint64((1 << FILTER_BITS) - 1)
+        return (self.bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def text_tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,141 +132,163 @@ def text_tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tokens, np.arange(len(tokens)) - np.repeat(bounds[:-1], counts), bounds
 
 
-def _summed(arrays: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(key, count) batches of the keys of a task, reduced about every ``GATHER`` keys."""
-    keys, counts, fresh, held = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+def joined_key(beginning: np.ndarray, ending: np.ndarray) -> np.ndarray:
+    """Key of the n-gram whose first and last n - 1 tokens have these keys."""
+    return mix64(beginning * _STEP + mix64(ending + _STEP))
+
+
+def grams(tokens: np.ndarray, place: np.ndarray, filters: list[Bitmap]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length from 2 on, (where it ends, key, key of its beginning, of its ending) of the n-grams
+    whose two parts the length's filter may hold."""
+    at, key = np.arange(len(tokens)), tokens
+    for length, listed in enumerate(filters, 2):
+        some = listed.may_hold(key)
+        at, key = at[some], key[some]
+        both = np.flatnonzero((at[1:] == at[:-1] + 1) & (place[at[1:]] >= length - 1)) + 1
+        at, beginning, ending = at[both], key[both - 1], key[both]
+        key = joined_key(beginning, ending)
+        yield at, key, beginning, ending
+
 
-    def reduced() -> tuple[np.ndarray, np.ndarray]:
-        u, c = np.unique(np.concatenate(fresh), return_counts=True) if fresh else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        both = np.concatenate([keys, u])
-        order = np.argsort(both, kind="stable")
-        both, weight = both[order], np.concatenate([counts, c])[order]
-        heads = np.flatnonzero(np.append(True, both[1:] != both[:-1])) if len(both) else np.zeros(0, np.int64)
-        return both[heads], np.add.reduceat(weight, heads) if len(both) else weight
+def _reduced(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct keys (rows of the last array; the others go with it) and their summed counts."""
+    order = np.argsort(keys[-1], kind="stable")
+    keys, counts = [k[order] for k in keys], counts[order]
+    heads = np.flatnonzero(np.append(True, keys[-1][1:] != keys[-1][:-1])) if len(counts) else np.zeros(0, np.int64)
+    return [k[heads] for k in keys], np.add.reduceat(counts, heads) if len(counts) else counts
+
+
+def _summed(arrays: Iterator[list[np.ndarray]], names: list[str], width: int) -> Iterator[pa.RecordBatch]:
+    """Batches of the first columns of a task's keys (see `_reduced`) with their counts, reduced about every ``GATHER`` keys."""
+    none = [np.zeros(0, np.uint64)] * width
+    keys, counts, fresh, held = none, np.zeros(0, np.int64), [], 0
+
+    def reduced() -> tuple[list[np.ndarray], np.ndarray]:
+        new, n = _reduced([np.concatenate(x) for x in zip(*fresh, strict=True)], np.ones(held, np.int64)) if fresh else (none, np.zeros(0, np.int64))
+        return _reduced([np.concatenate(x) for x in zip(keys, new, strict=True)], np.concatenate([counts, n]))
 
     def batches() -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(keys), 1 << 17):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + (1 << 17)]), pa.array(counts[i : i + (1 << 17)])], names=["k", "c"])
+        for i in range(0, len(counts), 1 << 17):
+            part = slice(i, i + (1 << 17))
+            yield pa.RecordBatch.from_arrays([*[pa.array(k[part].view(np.int64)) for k, _ in zip(keys, names, strict=False)], pa.array(counts[part])], names=[*names, "c"])
 
     for a in arrays:
         fresh.append(a)
-        held += len(a)
+        held += len(a[0])
         if held >= GATHER:
             keys, counts = reduced()
             fresh, held = [], 0
-            if len(keys) >= 2 * GATHER:
+            if len(counts) >= 2 * GATHER:
                 yield from batches()
-                keys, counts = keys[:0], counts[:0]
+                keys, counts = none, counts[:0]
     keys, counts = reduced()
     yield from batches()
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _summed(text_tokens(w)[0].view(np.int64) for b in batches for _, w in word_chunks(b.column(0)))
+    return _summed(([text_tokens(w)[0]] for b in batches for _, w in word_chunks(b.column(0))), ["k"], 1)
 
 
-def _count_level(model, depth: int):
-    """Map function that counts the n-grams of ``depth + 1`` tokens whose first ``depth`` are a node."""
+def _count_grams(shared) -> Callable:
+    """Map function that counts the n-grams of the length after the filters' last, by their two parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = model.value
+        filters = [b.value for b in shared]
 
-        def keys() -> Iterator[np.ndarray]:
+        def keys() -> Iterator[list[np.ndarray]]:
             for b in batches:
                 for _, w in word_chunks(b.column(0)):
                     tokens, place, _ = text_tokens(w)
-                    sym = tree.symbols(tokens)
-                    node = tree.nodes(sym, place, depth)[-1][:-1]
-                    ok = (place[1:] >= depth) & (node >= 0)
-                    yield node[ok] * tree.size + sym[1:][ok]
+                    *_, (_, key, beginning, ending) = grams(tokens, place, filters)
+                    yield [beginning, ending, key]
 
-        return _summed(keys())
+        return _summed(keys(), ["x", "s"], 3)
 
     return run
 
 
-def _numbers(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of a table of proven size, sorted by key."""
-    table = df.select("k", "c").toArrow()
-    k, c = (table.column(n).to_numpy().astype(np.int64) for n in ("k", "c"))
-    order = np.argsort(k)
-    return k[order], c[order]
-
-
-def _grown(tree: Tree, keys: np.ndarray, counts: np.ndarray, context_counts: np.ndarray) -> None:
-    """Add a level: test each context's divergence from its parent and smooth what it lists."""
-    size, depth = tree.size, len(tree.levels) + 1
-    ctx, last = keys // size, keys % size
-    grams = [last]
-    node = ctx
-    for d in range(depth - 1, 0, -1):  # spell the n-grams out, last token first
-        known = tree.levels[d - 1]["keys"][node]
-        grams.append(known % size)
-        node = known // size
-    grams.append(node)
-    spelled = np.stack(grams[::-1], axis=1)
-    parent = np.zeros(len(keys))
-    for i in range(0, len(keys), 1 << 18):  # drop the first token: the parent's view of the last
-        part = spelled[i : i + (1 << 18), 1:]
-        place = np.tile(np.arange(depth), len(part))
-        parent[i : i + (1 << 18)] = tree.log_probs(part.ravel(), place, depth - 1)[depth - 1 :: depth]
-    n = len(context_counts)
-    listed = np.bincount(ctx, minlength=n).astype(float)
-    stored = np.bincount(ctx, weights=counts, minlength=n)
-    shared = np.bincount(ctx, weights=np.exp(parent), minlength=n)
-    weight = 1.0 + listed
-    log_p = np.log((counts + weight[ctx] * np.exp(parent)) / (context_counts + weight)[ctx])
-    free = np.maximum(1.0 - shared, 1e-12)
-    log_rest = np.log(np.maximum((context_counts - stored + weight * free) / (context_counts + weight), 1e-12) / free)
-    gain = np.bincount(ctx, weights=counts * (log_p - parent), minlength=n) + (context_counts - stored) * log_rest
-    kept = (listed > 0) & (gain >= LEAST_GAIN + NATS_PER_ENTRY * listed) & (gain >= MIN_DIVERGENCE * context_counts)
-    tree.levels.append({"index": HashIndex(keys), "keys": keys, "counts": counts, "kept": kept, "log_p": log_p, "log_rest": log_rest})
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (x, s, c) with the key of the n-gram."""
+    for b in batches:
+        x, s = (b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(joined_key(x, s).view(np.int64)), *b.columns], names=["k", "x", "s", "c"])
+
+
+def _tested(counted: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(k, c, l, x, b, a) of one level's n-grams: ``l`` is L, ``b`` what the n-gram adds besides ``a``, the log of
+    its context's share left to the parent; both null where the context isn't kept.  ``shorter``: k, c, l."""
+    rows = counted.join(shorter.select(F.col("k").alias("x"), F.col("c").alias("n")), "x").join(shorter.select(F.col("k").alias("s"), F.col("l").alias("parent")), "s")
+    sums = rows.groupBy("x").agg(F.count(F.lit(1)).alias("listed"), F.sum("c").alias("stored"), F.sum(F.exp("parent")).alias("shared"))
+    weight = F.lit(1.0) + F.col("listed")
+    rows = rows.join(sums, "x").withColumn("log_p", F.log((F.col("c") + weight * F.exp("parent")) / (F.col("n") + weight)))
+    free = F.greatest(F.lit(1.0) - F.col("shared"), F.lit(1e-12))
+    rows = rows.withColumn("log_rest", F.log(F.greatest((F.col("n") - F.col("stored") + weight * free) / (F.col("n") + weight), F.lit(1e-12)) / free))
+    gains = rows.groupBy("x").agg(F.sum(F.col("c") * (F.col("log_p") - F.col("parent"))).alias("gain"))
+    gain = F.col("gain") + (F.col("n") - F.col("stored")) * F.col("log_rest")
+    kept = (gain >= LEAST_GAIN + NATS_PER_ENTRY * F.col("listed")) & (gain >= MIN_DIVERGENCE * F.col("n"))
+    return rows.join(gains, "x").select(
+        "k",
+        "c",
+        F.when(kept, F.col("log_p")).otherwise(F.col("parent")).alias("l"),
+        "x",
+        F.when(kept, F.col("log_p") - F.col("parent") - F.col("log_rest")).alias("b"),
+        F.when(kept, F.col("log_rest")).alias("a"),
+    )
 
 
 @dataclass
 class Learned:
-    """The tree, all word counts, and the corpus totals."""
+    """Words (k, c, a), n-grams (k, c, w), the filters of the levels, and the corpus totals."""
 
-    tree: Tree
     words: DataFrame
+    grams: DataFrame
+    filters: list
     tokens: int
     distinct: int
 
 
-def learn(train: DataFrame, text: str = "text", depth: int = DEPTH, head_words: int = HEAD_WORDS, p_min: float = P_MIN) -> Learned:
+def learn(train: DataFrame, text: str = "text", depth: int = DEPTH, min_count: int = MIN_COUNT) -> Learned:
     """Learn the tree from every text of ``train``."""
     spark = train.sparkSession
+    scratch = Scratch(spark, "lm")
     texts = train.select(quoted(text).alias("t"))
-    words = materialize(texts.mapInArrow(_count_words, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")), "lm-words")
-    # how many words have a count of about so much: from that, the count that head words need
-    steps = (
-        words.groupBy(F.floor(F.log2(F.col("c").cast("double")) * 16).alias("step"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("tokens"), F.min("c").alias("least"))
-        .collect()
-    )
-    total, distinct = sum(r["tokens"] for r in steps), sum(r["n"] for r in steps)
-    least, room = None, head_words
+    words = scratch.table(texts.mapInArrow(_count_words, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")))
+    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    z = total + ALPHA * (distinct + 1)
+    levels = [words.where(F.col("c") >= min_count).withColumn("l", F.log((F.col("c") + F.lit(ALPHA)) / F.lit(z)))]
+    filters = []
+    for _ in range(depth):
+        filters.append(spark.sparkContext.broadcast(Bitmap.of(levels[-1])))
+        counted = texts.mapInArrow(_count_grams(list(filters)), _PAIRS).groupBy("x", "s").agg(F.sum("c").alias("c")).where(F.col("c") >= min_count)
+        counted = scratch.table(counted.mapInArrow(_keyed, f"k long, {_PAIRS}"))
+        levels.append(scratch.table(_tested(counted, levels[-1].select("k", "c", "l"))))
+        scratch.drop(scratch.made - 2, scratch.made - 1)
+    # what an n-gram adds as a context of the next token is part of its weight
+    contexts = [level.where("a IS NOT NULL").select(F.col("x").alias("k"), "a").distinct() for level in levels[1:]]
+    weights = None
+    for i, level in enumerate(levels[1:]):
+        own = level.select("k", "c", F.coalesce("b", F.lit(0.0)).alias("b"))
+        if i + 1 < len(contexts):
+            own = own.join(contexts[i + 1], "k", "left").select("k", "c", (F.col("b") + F.coalesce("a", F.lit(0.0))).alias("b"))
+        own = own.where("b != 0").select("k", "c", F.col("b").alias("w"))
+        weights = own if weights is None else weights.unionByName(own)
+    named = words.join(contexts[0], "k", "left").select("k", "c", F.coalesce("a", F.lit(0.0)).alias("a")) if contexts else words.withColumn("a", F.lit(0.0))
+    named = scratch.table(named)
+    weights = scratch.table(weights if weights is not None else named.where("false").select("k", "c", F.col("a").alias("w")))
+    scratch.drop(0, scratch.made - 2)
+    return Learned(named, weights, filters, total, distinct)
+
+
+def _head(table: DataFrame, room: int) -> Column:
+    """A condition that holds for about the ``room`` rows of highest count, and for no more."""
+    steps = table.groupBy(F.floor(F.log2(F.col("c").cast("double")) * 16).alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).collect()
+    least = None
     for r in sorted(steps, key=lambda r: -r["step"]):
         room -= r["n"]
         if room < 0:
             break
         least = r["least"]
-    head = words.where(F.lit(False) if least is None else F.col("c") >= least)
-    keys, counts = _numbers(head)
-    z = total + ALPHA * (distinct + 1)
-    rest = (total - int(counts.sum())) + ALPHA * (distinct - len(keys)) + ALPHA
-    root = np.log(np.append(counts + ALPHA, rest) / z)
-    tree = Tree(HashIndex(keys.view(np.uint64)), root, float(root[-1]))
-    least_count = max(2, math.ceil(p_min * total))
-    context_counts = np.append(counts, total - int(counts.sum())).astype(np.int64)
-    for d in range(1, depth + 1):
-        model = spark.sparkContext.broadcast(tree)
-        grams = texts.mapInArrow(_count_level(model, d), "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
-        found, seen = _numbers(grams.where(F.col("c") >= least_count))
-        _grown(tree, found, seen, context_counts)
-        context_counts = seen
-        model.unpersist()
-    return Learned(tree, words, total, distinct)
+    return F.lit(False) if least is None else F.col("c") >= least
 
 
 def is_held_out(doc_id: Column, folds: int = 10) -> Column:
@@ -291,63 +296,81 @@ def is_held_out(doc_id: Column, folds: int = 10) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds == 0
 
 
-def lm_scores(df: DataFrame, train: DataFrame, text: str = "text", depth: int = DEPTH, head_words: int = HEAD_WORDS, p_min: float = P_MIN) -> DataFrame:
-    """``df`` with n_tokens, n_known, train_tokens, base_score and score (log10)."""
+def _row_keys(keys: np.ndarray, at: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``keys`` in order of their places ``at`` with the ends of the rows that ``bounds`` cuts."""
+    order = np.argsort(at, kind="stable")
+    return keys[order], np.searchsorted(at[order], bounds)
+
+
+def lm_scores(df: DataFrame, train: DataFrame, text: str = "text", depth: int = DEPTH, min_count: int = MIN_COUNT, keep: list[str] | None = None) -> DataFrame:
+    """``df`` (its columns ``keep``, else all) with n_tokens, n_known, train_tokens, base_score and score (log10)."""
     outputs = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    learned = learn(train, text, depth, head_words, p_min)
     spark = df.sparkSession
-    model = spark.sparkContext.broadcast(learned.tree)
+    learned = learn(train, text, depth, min_count)
+    z = learned.tokens + ALPHA * (learned.distinct + 1)
+    in_words, in_grams = _head(learned.words, HEAD_WORDS), _head(learned.grams, HEAD_GRAMS)
+    top = learned.words.where(in_words).select("k", F.col("c").cast("double").alias("c"), "a").toArrow()  # HEAD_WORDS rows at most
+    named = HashIndex(top.column("k").to_numpy().view(np.uint64)), np.log((top.column("c").to_numpy() + ALPHA) / z), top.column("a").to_numpy()
+    top = learned.grams.where(in_grams).select("k", "w").toArrow()  # HEAD_GRAMS rows at most
+    weighed = HashIndex(top.column("k").to_numpy().view(np.uint64)), top.column("w").to_numpy()
+    rest = learned.grams.where(~in_grams)
+    shared = spark.sparkContext.broadcast((named, weighed, Bitmap.of(rest)))
+    filters = learned.filters
 
     def run(batches):
-        tree: Tree = model.value
+        (index, root, as_context), (gram_index, gram_weight), others = shared.value
+        listed = [b.value for b in filters]
         for (array,) in batches:
             for rows, w in word_chunks(array):
                 tokens, place, bounds = text_tokens(w)
-                sym = tree.symbols(tokens)
-                rare = sym == tree.size - 1
-                base = np.where(rare, 0.0, tree.root[sym])
-                full = tree.log_probs(sym, place) - np.where(rare, tree.tail, 0.0)
-                at = bounds[:-1]
-                ends = np.concatenate([[0], np.cumsum(np.add.reduceat(rare.astype(np.int64), at))])
+                found = index.find(tokens)
+                known = found >= 0
+                base, more = np.zeros(len(tokens)), np.zeros(len(tokens))
+                base[known] = root[found[known]]
+                more[known] = as_context[found[known]]
+                asked, where = [], []
+                for at, key, _, _ in grams(tokens, place, listed):
+                    got = gram_index.find(key)
+                    more[at[got >= 0]] += gram_weight[got[got >= 0]]
+                    unsure = (got < 0) & others.may_hold(key)
+                    asked.append(key[unsure])
+                    where.append(at[unsure])
+                none = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                keys, cuts = _row_keys(np.concatenate(asked or none[0]), np.concatenate(where or none[1]), bounds)
                 yield rows, [
                     pa.array(np.diff(bounds)),
-                    pa.array(np.add.reduceat((~rare).astype(np.int64), at)),
-                    pa.array(np.add.reduceat(base, at)),
-                    pa.array(np.add.reduceat(full, at)),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens[rare].view(np.int64))),
+                    pa.array(np.add.reduceat(known.astype(np.int64), bounds[:-1])),
+                    pa.array(np.add.reduceat(base, bounds[:-1])),
+                    pa.array(np.add.reduceat(more, bounds[:-1])),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.add.reduceat((~known).astype(np.int64), bounds[:-1]))]), pa.int32()), pa.array(tokens[~known].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(keys.view(np.int64))),
                 ]
 
-    fields = [
-        T.StructField("__tm_n", T.LongType()),
-        T.StructField("__tm_known", T.LongType()),
-        T.StructField("__tm_base", T.DoubleType()),
-        T.StructField("__tm_full", T.DoubleType()),
-        T.StructField("__tm_rare", T.ArrayType(T.LongType())),
-    ]
-    keep = without(df, outputs).columns
-    rows = materialize(arrow_map(df, [quoted(text)], keep, fields, run).withColumn("__tm_row", F.monotonically_increasing_id()), "lm-rows")
-    z = learned.tokens + ALPHA * (learned.distinct + 1)
-    rare = (
-        rows.select("__tm_row", F.explode("__tm_rare").alias("k"))
-        .join(learned.words, "k", "left")
-        .groupBy("__tm_row")
-        .agg(
-            F.sum(F.log((F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) / F.lit(z))).alias("__tm_more"),
-            F.count("c").alias("__tm_more_known"),
-        )
+    names = {"n": T.LongType(), "known": T.LongType(), "base": T.DoubleType(), "more": T.DoubleType(), "words": T.ArrayType(T.LongType()), "grams": T.ArrayType(T.LongType())}
+    keep = [c for c in without(df, outputs).columns if keep is None or c in keep]
+    scratch = Scratch(spark, "lm-rows")
+    rows = scratch.table(arrow_map(df, [quoted(text)], keep, [T.StructField(f"__tm_{n}", t) for n, t in names.items()], run).withColumn("__tm_row", F.monotonically_increasing_id()))
+    # distinct keys of a row with their numbers: a word that no table holds can be frequent
+    asked = lambda c: rows.select("__tm_row", F.explode(f"__tm_{c}").alias("k")).groupBy("__tm_row", "k").agg(F.count(F.lit(1)).alias("m"))
+    log_p = F.log((F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) / F.lit(z))
+    words = asked("words").join(learned.words.where(~in_words), "k", "left").select(
+        "__tm_row", F.when(F.col("c").isNotNull(), F.col("m")).otherwise(0).alias("known"), (F.col("m") * log_p).alias("base"), (F.col("m") * F.coalesce("a", F.lit(0.0))).alias("more")
     )
-    more = F.coalesce("__tm_more", F.lit(0.0))
-    return rows.join(rare, "__tm_row", "left").select(
+    grams_of = asked("grams").join(rest, "k").select("__tm_row", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (F.col("m") * F.col("w")).alias("more"))
+    sums = words.unionByName(grams_of).groupBy("__tm_row").agg(F.sum("known").alias("__tm_known2"), F.sum("base").alias("__tm_base2"), F.sum("more").alias("__tm_more2"))
+    plus = lambda a, b, zero: F.col(a) + F.coalesce(b, F.lit(zero))
+    base = plus("__tm_base", "__tm_base2", 0.0)
+    return rows.join(sums, "__tm_row", "left").select(
         *[quoted(c) for c in keep],
         F.col("__tm_n").alias("n_tokens"),
-        (F.col("__tm_known") + F.coalesce("__tm_more_known", F.lit(0))).cast("long").alias("n_known"),
+        plus("__tm_known", "__tm_known2", 0).cast("long").alias("n_known"),
         F.lit(learned.tokens).cast("long").alias("train_tokens"),
-        ((F.col("__tm_base") + more) / math.log(10)).alias("base_score"),
-        ((F.col("__tm_full") + more) / math.log(10)).alias("score"),
+        (base / math.log(10)).alias("base_score"),
+        ((base + plus("__tm_more", "__tm_more2", 0.0)) / math.log(10)).alias("score"),
     )
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = lm_scores(docs, docs.where(~is_held_out(F.col("doc_id"))))
+    scored = lm_scores(docs, docs.where(~is_held_out(F.col("doc_id"))), keep=["doc_id"])
     return scored.select("doc_id", F.coalesce(is_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
