@@ -75,7 +75,7 @@ class SuffixTree:
             new = {}
             for x, own in listed.items():
                 parent = {w: self.p(x[1:], w) for w in own}
-                n, weight = seen[x], 1 + len(own)
+                n, weight = seen[x], lm_scoring.PARENT_WEIGHT
                 free = 1 - sum(parent.values())
                 rest = (n - sum(own.values()) + weight * free) / (n + weight) / free
                 p = {w: (c + weight * parent[w]) / (n + weight) for w, c in own.items()}
