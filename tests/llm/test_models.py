@@ -149,6 +149,34 @@ def test_kernel_equals_its_definition():
             assert got[i, j] == pytest.approx(brute_kernel(u, m) / norm if norm else 0, abs=1e-5)
 
 
+def test_pruned_pairs_are_all_pairs_of_the_kernel():
+    rng = random.Random(4)
+    marks = toxicity.Landmarks(["idiot", "banana", "abcabc", "stupido", "achlichpf", "aaaa"])
+    units = ["".join(rng.choice("abcidostup1ln") for _ in range(rng.randint(0, 16))) for _ in range(3000)]
+    for m in marks.units:
+        for _ in range(100):
+            own = list(m)
+            for _ in range(rng.randint(0, 3)):
+                own.insert(rng.randrange(len(own) + 1), rng.choice("x1.abst"))
+            units.append("".join(own))
+    whole = marks.kernel(units)
+    want = {(i, j): whole[i, j] for i, j in zip(*np.nonzero(whole >= toxicity.FLOOR))}
+    got = {(int(i), int(j)): v for i, j, v in zip(*marks.near(units))}
+    assert len(want) > 300 and set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-5 for k in got)
+    texts = [" ".join(rng.sample(units, 5)) + " i d i o t" for _ in range(50)]
+    values = toxicity.text_values(texts, marks, toxicity.TwoGenerations(1000))
+    for text, row in zip(texts, values):
+        parts = [w for c in toxicity.chunks_of(text) for w in toxicity.windows(toxicity.unit_of(c))]
+        own = marks.kernel(parts)
+        assert row == pytest.approx((np.where(own >= toxicity.FLOOR, own, 0) ** toxicity.SHARPNESS).max(axis=0), abs=1e-4)
+
+
+def test_long_units_are_covered():
+    unit = "".join(chr(97 + i % 26) for i in range(100))
+    assert all(any(unit[i : i + toxicity.LONGEST] in w for w in toxicity.windows(unit)) for i in range(100 - toxicity.LONGEST))
+    assert all(len(w) <= toxicity.WINDOW for w in toxicity.windows(unit))
+
+
 def test_toxicity_finds_gapped_insults_and_held_out_texts(spark):
     rng = random.Random(3)
     calm = ["house", "garden", "window", "paper", "river", "stone", "music", "letter", "winter", "bread"]

@@ -1,17 +1,20 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
 Units are the stretches of a text without white space (lower-cased, outer punctuation cut off) and
-runs of single characters joined.  The kernel of two units is the gap-weighted subsequence kernel:
-every common subsequence of three characters counts with a factor ``DECAY`` for each character it
-spans in either unit, normalised to 1 for equal units; inserted characters cost little.  Landmarks
+runs of single characters joined.  The subsequence kernel of two units counts
+every common subsequence of three characters with a factor ``DECAY`` for each character it
+spans in either unit, normalised to 1 for equal units, so inserted characters cost little; its power ``SHARPNESS``,
+a kernel too, tells a unit from those that only share some of its parts.  Landmarks
 are units that mark toxic training texts, no two of them alike, and some common ones.  A text's
-representation is its best kernel value with each landmark (values below ``FLOOR`` count 0), mapped by
+representation is its best kernel value with each landmark (subsequence kernels below ``FLOOR`` count 0), mapped by
 the inverse root of the landmarks' own kernel matrix (Nyström); a linear support vector machine on
-it is fitted with squared hinge loss and calibrated to (0, 1).
+it is fitted with squared hinge loss and calibrated to (0, 1) on texts that its fit left out.
 
-The kernel with all landmarks is computed at once from the unit's character triples.  Units over
-``WINDOW`` characters are covered by overlapping windows; a unit with inner punctuation is also compared
-without it.  Units seen are cached, in bounded space.
+Most units are like no landmark, which a bound shows without their kernels: the subsequences that hold most of a
+landmark's norm are indexed, the rest of it adds its norm at most (Cauchy-Schwarz), and a unit's own
+norm is least when its characters differ.  Only pairs whose bound reaches ``FLOOR`` are computed.  Units over
+``WINDOW`` characters are covered by windows, so close that each stretch of ``LONGEST`` characters lies in one; a unit
+with inner punctuation is also compared without it.  Units seen are cached, in bounded space.
 
 Training texts are a bounded, documented sample of the labelled rows (`TOXIC_SAMPLE`, `CLEAN_SAMPLE`, by a
 hash of the id); everything else covers all rows.
@@ -26,6 +29,7 @@ through; texts of any length are scored whole.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -40,11 +44,22 @@ from .vocab import TwoGenerations
 
 ORDER = 3
 DECAY = 0.6
-WINDOW, STRIDE = 16, 8
-FLOOR = 0.35
-LANDMARKS, COMMON = 56, 8
-#: Landmarks are less alike than this.
-ALIKE = 0.6
+#: Landmarks have at most LONGEST characters.
+WINDOW, LONGEST = 16, 12
+STRIDE = WINDOW - LONGEST + 1
+FLOOR = 0.6
+SHARPNESS = 8
+#: The part of a landmark's norm that is not indexed.
+RESIDUAL = 0.3
+LANDMARKS, COMMON = 256, 8
+#: Subsequence kernels of two landmarks are below this.
+ALIKE = 0.9
+PENALTY = 0.1
+#: Nats by which a marking unit's toxic texts exceed what the base rate explains.
+EVIDENCE = 8.0
+#: Parts of the sample, each left out once to calibrate; toxic rows weigh (clean / toxic) ** BALANCE there.
+CALIBRATION_FOLDS = 4
+BALANCE = 0.5
 TOXIC_SAMPLE, CLEAN_SAMPLE = 4000, 12000
 CANDIDATES = 3000
 SLICE_CHARS = 1 << 20
@@ -79,6 +94,12 @@ def _cover(unit: str) -> list[str]:
     return [unit[i : i + WINDOW] for i in range(0, len(unit) - WINDOW + STRIDE, STRIDE)]
 
 
+def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the subsequences of ``n`` characters and their factors."""
+    places = np.array(list(combinations(range(n), 3)))
+    return places, (DECAY ** (places[:, 2] - places[:, 0] + 1)).astype(np.float32)
+
+
 def self_kernel(codes: np.ndarray) -> np.ndarray:
     """K(s, s) of units of one length, given as rows of character codes."""
     rows, n = codes.shape
@@ -105,60 +126,105 @@ class Landmarks:
         self.codes = {c: i + 1 for i, c in enumerate(letters)}
         base = len(letters) + 1
         self.base = base
-        #: for every triple of letters its weight in each landmark
+        #: for every triple of letters its weight in each landmark, for landmarks of norm 1
         self.weights = np.zeros((base**3, len(units)), dtype=np.float32)
+        indexed = []
         for j, u in enumerate(units):
             own = np.array([self.codes[c] for c in u], dtype=np.int64)
             for x, y, z in combinations(range(len(u)), 3):
                 self.weights[(own[x] * base + own[y]) * base + own[z], j] += DECAY ** (z - x + 1)
-        norms = [self_kernel(np.array([[ord(c) for c in u]]))[0] for u in units]
-        self.norms = np.sqrt(np.array(norms)).astype(np.float32)
-
-    def kernel(self, units: list[str]) -> np.ndarray:
-        """Normalised kernel of units (each at most WINDOW characters) with every landmark."""
-        out = np.zeros((len(units), len(self.units)), dtype=np.float32)
+            mine = np.flatnonzero(self.weights[:, j])
+            self.weights[mine, j] /= np.sqrt(self_kernel(np.array([[ord(c) for c in u]]))[0])
+            mass = np.sort(self.weights[mine, j] ** 2)[::-1]
+            most = int(np.searchsorted(np.cumsum(mass), mass.sum() * (1 - RESIDUAL**2))) + 1
+            top = mine[np.argsort(-self.weights[mine, j], kind="stable")[:most]]
+            indexed.append(np.stack([top, np.full(len(top), j)], axis=1))
+        table = np.concatenate(indexed) if indexed else np.zeros((0, 2), np.int64)
+        table = table[np.argsort(table[:, 0], kind="stable")]
+        self.starts = np.searchsorted(table[:, 0], np.arange(base**3 + 1))
+        self.index = table[:, 1]
+        self.index_weight = self.weights[table[:, 0], table[:, 1]]
+
+    def __reduce__(self):
+        return Landmarks, (self.units,)
+
+    def _keys(self, units: list[str], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(character codes, triple keys) of units of one length; key 0: a letter that no landmark has."""
+        raw = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(units), -1).astype(np.int64)
+        table = np.zeros(int(raw.max()) + 1, dtype=np.int64)
+        for c, k in self.codes.items():
+            if ord(c) < len(table):
+                table[ord(c)] = k
+        code = table[raw]
+        one, two, three = (code[:, places[:, i]] for i in range(3))
+        return raw, np.where((one > 0) & (two > 0) & (three > 0), (one * self.base + two) * self.base + three, 0)
+
+    @staticmethod
+    def _by_length(units: list[str]) -> Iterator[tuple[int, list[int]]]:
+        """Numbers of units of one length, at most 2,048 at once."""
         groups: dict[int, list[int]] = {}
         for i, u in enumerate(units):
             if len(u) >= ORDER:
                 groups.setdefault(len(u), []).append(i)
         for n, members in groups.items():
-            triples = np.array(list(combinations(range(n), 3)))
-            factor = (DECAY ** (triples[:, 2] - triples[:, 0] + 1)).astype(np.float32)
             for cut in range(0, len(members), 2048):
-                own = members[cut : cut + 2048]
-                raw = np.frombuffer("".join([units[i] for i in own]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(own), n).astype(np.int64)
-                top = int(raw.max()) + 1
-                table = np.zeros(top, dtype=np.int64)
-                for c, k in self.codes.items():
-                    if ord(c) < top:
-                        table[ord(c)] = k
-                code = table[raw]
-                key = (code[:, triples[:, 0]] * self.base + code[:, triples[:, 1]]) * self.base + code[:, triples[:, 2]]
-                key[(code[:, triples] == 0).any(axis=2)] = 0
-                row, col = np.nonzero(key)
-                got = np.zeros((len(own), len(self.units)), dtype=np.float32)
-                if len(row):
-                    heads = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-                    part = self.weights[key[row, col]] * factor[col][:, None]
-                    got[row[heads]] = np.add.reduceat(part, heads, axis=0)
-                    some = row[heads]
-                    got[some] /= np.sqrt(self_kernel(raw[some]))[:, None].astype(np.float32)
-                out[own] = got / self.norms
+                yield n, members[cut : cut + 2048]
+
+    def kernel(self, units: list[str]) -> np.ndarray:
+        """Subsequence kernel of units (each at most WINDOW characters) with every landmark."""
+        out = np.zeros((len(units), len(self.units)), dtype=np.float32)
+        for n, own in self._by_length(units):
+            places, factor = _triples(n)
+            raw, key = self._keys([units[i] for i in own], places)
+            step = max(1, (1 << 22) // (key.shape[1] * max(1, len(self.units))))
+            raws = [np.einsum("j,ijk->ik", factor, self.weights[key[k : k + step]]) for k in range(0, len(own), step)]
+            out[own] = np.concatenate(raws) / np.sqrt(self_kernel(raw))[:, None].astype(np.float32)
         return out
 
-    def chunk_values(self, chunks: list[str]) -> list[np.ndarray | None]:
-        """Best kernel values of each chunk; None where all are below the floor."""
+    def near(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(unit, landmark, subsequence kernel) of all pairs whose kernel is ``FLOOR`` or more."""
+        width, found = len(self.units), []
+        for n, own in self._by_length(units):
+            places, factor = _triples(n)
+            raw, key = self._keys([units[i] for i in own], places)
+            row, col = np.nonzero(self.starts[key + 1] > self.starts[key])
+            at = key[row, col]
+            many = self.starts[at + 1] - self.starts[at]
+            entry = np.repeat(self.starts[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            pair = np.repeat(row, many) * width + self.index[entry]
+            held = np.bincount(pair, weights=np.repeat(factor[col], many) * self.index_weight[entry], minlength=0)
+            pair = np.flatnonzero(held >= (FLOOR - RESIDUAL) * np.sqrt((factor.astype(float) ** 2).sum()) - 1e-6)
+            if not len(pair):
+                continue
+            unit, mark = pair // width, pair % width
+            some = np.unique(unit)
+            norm = np.ones(len(own))
+            norm[some] = np.sqrt(self_kernel(raw[some]))
+            for cut in range(0, len(pair), 4096):
+                u, m = unit[cut : cut + 4096], mark[cut : cut + 4096]
+                value = (self.weights[key[u], m[:, None]] @ factor) / norm[u]
+                good = value >= FLOOR
+                found.append((np.array(own)[u[good]], m[good], value[good]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def chunk_values(self, chunks: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """(landmarks, kernel values) of each chunk; None where it is like no landmark."""
         parts, owner = [], []
         for i, c in enumerate(chunks):
             for w in windows(unit_of(c)):
                 parts.append(w)
                 owner.append(i)
-        values = self.kernel(parts)
-        values[values < FLOOR] = 0.0
-        out: list[np.ndarray | None] = [None] * len(chunks)
-        for k in np.flatnonzero(values.any(axis=1)).tolist():
-            i = owner[k]
-            out[i] = values[k] if out[i] is None else np.maximum(out[i], values[k])
+        unit, mark, value = self.near(parts)
+        out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(chunks)
+        if len(unit):
+            chunk = np.array(owner)[unit]
+            order = np.argsort(chunk, kind="stable")
+            chunk, mark, value = chunk[order], mark[order], value[order].astype(np.float32) ** SHARPNESS
+            heads = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+            for lo, hi in zip(heads, np.append(heads[1:], len(chunk)), strict=True):
+                out[chunk[lo]] = mark[lo:hi].astype(np.int16), value[lo:hi]
         return out
 
 
@@ -173,9 +239,9 @@ def text_values(texts: list[str | None], landmarks: Landmarks, cache: TwoGenerat
     known = cache.young
     out = np.zeros((len(rows), len(landmarks.units)), dtype=np.float32)
     for r, row in enumerate(rows):
-        hot = [v for v in map(known.__getitem__, row) if v is not False]
-        if hot:
-            out[r] = np.max(hot, axis=0)
+        for v in map(known.__getitem__, row):
+            if v is not False:
+                np.maximum.at(out[r], v[0], v[1])
     return out
 
 
@@ -195,7 +261,7 @@ class Machine:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.offset, -500, 500)))
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray, float]:
+def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss and balanced classes, by Newton steps.  y: -1 or 1."""
     n = len(y)
     full = np.hstack([x, np.ones((n, 1))])
@@ -226,11 +292,12 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic curve through smoothed targets, by Newton steps."""
     pos, neg = (y > 0).sum(), (y < 0).sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
+    weight = np.where(y > 0, (neg / pos) ** BALANCE, 1.0)
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * margin + b, -500, 500)))
-        g = p - target
-        v = p * (1 - p) + 1e-12
+        g = weight * (p - target)
+        v = weight * p * (1 - p) + 1e-12
         grad = np.array([(g * margin).sum() + 1e-3 * a, g.sum()])
         hess = np.array([[(v * margin * margin).sum() + 1e-3, (v * margin).sum()], [(v * margin).sum(), v.sum() + 1e-9]])
         step = np.linalg.solve(hess, grad)
@@ -240,11 +307,25 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-3)), float(b)
 
 
+def margins_left_out(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Each row's margin by a machine that was fitted without it (and without its part of the sample)."""
+    part = np.zeros(len(y), dtype=np.int64)
+    for kind in (y > 0, y < 0):  # every part has its share of either label
+        part[np.flatnonzero(kind)] = np.arange(kind.sum()) % CALIBRATION_FOLDS
+    out = np.zeros(len(y))
+    for k in range(CALIBRATION_FOLDS):
+        rest = part != k
+        if (y[rest] > 0).any() and (y[rest] < 0).any():
+            weights, bias = fit_svm(x[rest], y[rest])
+            out[~rest] = x[~rest] @ weights + bias
+    return out
+
+
 def choose_landmarks(marking: list[str], common: list[str], room: int = LANDMARKS) -> list[str]:
     """The first of ``marking`` that are unlike the ones before, then ``common`` ones."""
     chosen: list[str] = []
     for pool, most in ((marking, room - COMMON), (common, room)):
-        pool = [u for u in pool if ORDER <= len(u) <= WINDOW]
+        pool = [u for u in pool if ORDER <= len(u) <= LONGEST]
         alike = np.zeros(len(pool), dtype=bool)
         if chosen and pool:
             alike |= (Landmarks(chosen).kernel(pool) >= ALIKE).any(axis=1)
@@ -297,7 +378,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     pos, neg = sizes[1] + 1.0, sizes[0] + 1.0
     odds = F.log((F.col("toxic") + 0.5) / pos) - F.log((F.col("clean") + 0.5) / neg)
     least = max(2, sizes[1] // 500)
-    marking = counted.where((F.col("toxic") >= least) & (odds > 2)).orderBy((odds * F.col("toxic")).desc(), "u").limit(CANDIDATES)
+    evidence = F.col("toxic") * F.log(F.col("toxic") / (F.col("toxic") + F.col("clean")) / (sizes[1] / (sizes[0] + sizes[1])))
+    marking = counted.where((F.col("toxic") >= least) & (odds > 2) & (evidence >= EVIDENCE)).orderBy((odds * F.col("toxic")).desc(), "u").limit(CANDIDATES)
     common = counted.where(F.col("clean") >= 2).orderBy(F.col("clean").desc(), "u").limit(4 * COMMON)
     chosen = choose_landmarks([r["u"] for r in marking.select("u").collect()], [r["u"] for r in common.select("u").collect()])
     if not chosen:
@@ -323,11 +405,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     if (y > 0).all() or (y < 0).all():
         return None
     own = landmarks.kernel(chosen).astype(float)
-    own = (own + own.T) / 2
+    own = np.clip((own + own.T) / 2, 0, None) ** SHARPNESS
     val, vec = np.linalg.eigh(own)
     mapping = (vec / np.sqrt(np.maximum(val, 1e-3))) @ vec.T
-    weights, bias = fit_svm(x @ mapping, y)
-    slope, offset = calibrate(x @ mapping @ weights + bias, y)
+    mapped = x @ mapping
+    weights, bias = fit_svm(mapped, y)
+    slope, offset = calibrate(margins_left_out(mapped, y), y)
     return Machine(landmarks, mapping, weights, bias, slope, offset)
 
 
