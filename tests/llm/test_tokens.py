@@ -62,3 +62,12 @@ def test_encode_decode_columns(spark):
     for r in bpe_codec.decode(bpe_codec.encode(df, PATH), PATH).collect():
         ids = lib.encode(r["text"], add_special_tokens=False).ids
         assert r["ids"] == ids and r["decoded"] == lib.decode(ids, skip_special_tokens=False)
+
+
+def test_long_unbroken_runs_equal_the_library():
+    rng = random.Random(5)
+    lib = Tokenizer.from_file(PATH)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ab", "a", "aé0"):
+        for n in (30, 400, 5000):
+            text = "".join(rng.choice(alphabet) for _ in range(n))
+            assert np.frombuffer(bpe_codec.encode_texts([text], PATH)[0], "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids

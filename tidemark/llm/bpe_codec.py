@@ -28,6 +28,8 @@ from .vocab import NO_RANK, PairTable, TwoGenerations, Vocabulary, vocabulary
 CACHE_CHUNKS = 250_000
 SLICE_CHARS = 1 << 20
 _NEVER = np.int64(1) << 62
+#: Up to so many pre-tokens of one size class are merged one by one.
+FEW = 8
 
 
 def _merge_class(sym: np.ndarray, size: np.ndarray, table: PairTable) -> None:
@@ -81,6 +83,57 @@ def _merge_class(sym: np.ndarray, size: np.ndarray, table: PairTable) -> None:
         rows = rows[flat[trunk + 1] != _NEVER]
 
 
+def _merge_one(sym: np.ndarray, table: PairTable) -> np.ndarray:
+    """Symbols of one pre-token after all its merges: the same tree as `_merge_class`, walked alone.
+
+    Numpy's cost of a round is worth it for many rows only; a long unbroken run is merged here.
+    """
+    n = len(sym)
+    width = 1 << max(1, (n - 1).bit_length())
+    never = int(_NEVER)
+    leaves = np.full(width, _NEVER)
+    pair = table.rank(sym[:-1], sym[1:])
+    fits = np.flatnonzero(pair != NO_RANK)
+    leaves[fits] = (pair[fits] << 32) | fits
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        levels.append(np.minimum(levels[-1][::2], levels[-1][1::2]))
+    tree = [never, *np.concatenate(levels[::-1]).tolist()]
+    symbols, left, right = sym.tolist(), list(range(-1, n - 1)), list(range(1, n + 1))
+    ranks, made = table.by_pair, table.made
+
+    def put(place: int, value: int) -> None:
+        node = width + place
+        tree[node] = value
+        node >>= 1
+        while node:
+            low = min(tree[2 * node], tree[2 * node + 1])
+            if tree[node] == low:
+                return
+            tree[node] = low
+            node >>= 1
+
+    while (root := tree[1]) != never:
+        i = root & 0xFFFFFFFF
+        j = right[i]
+        k, h = right[j], left[i]
+        symbols[i] = own = int(made[root >> 32])
+        symbols[j] = -1
+        right[i] = k
+        put(j, never)
+        if k < n:
+            left[k] = i
+            rank = ranks.get((own << 32) | symbols[k])
+            put(i, never if rank is None else (rank << 32) | i)
+        else:
+            put(i, never)
+        if h >= 0:
+            rank = ranks.get((symbols[h] << 32) | own)
+            put(h, never if rank is None else (rank << 32) | h)
+    out = np.array(symbols, dtype=np.int64)
+    return out[out >= 0]
+
+
 def merge_batch(symbols: np.ndarray, lengths: np.ndarray, table: PairTable) -> list[np.ndarray]:
     """Merge many pre-tokens (none empty), given end to end, as far as the ranks go.
 
@@ -96,6 +149,10 @@ def merge_batch(symbols: np.ndarray, lengths: np.ndarray, table: PairTable) -> l
         room = max(1, (1 << 18) // width)
         for cut in range(0, len(members), room):
             own = members[cut : cut + room]
+            if len(own) <= FEW and width > FEW:
+                for r in own:
+                    out[r] = _merge_one(symbols[starts[r] : starts[r] + lengths[r]], table).astype("<u4")
+                continue
             size = lengths[own]
             place = np.minimum(np.arange(width), (size - 1)[:, None])
             sym = symbols[starts[own][:, None] + place]

@@ -104,6 +104,7 @@ class PairTable:
         self.keys, self.ranks = keys[order], made[order, 0]
         self.made = np.zeros(int(self.ranks.max()) + 1 if len(keys) else 1, dtype=np.int64)
         self.made[made[:, 0]] = made[:, 1]
+        self.by_pair = dict(zip(keys.tolist(), made[:, 0].tolist(), strict=True))
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair; ``NO_RANK`` where it doesn't merge."""
