@@ -226,6 +226,32 @@ def test_ordinal_model_orders_three_grades_and_holds_out(spark):
     assert all((got[i]["tail_probability"] >= 0.5) == (i % 3 >= 1) for i in held)
 
 
+def test_ordinal_likelihood_and_gradient():
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["alpha", "be", "gamma?", "delta", "x1"]) for _ in range(rng.randint(0, 12))) for _ in range(40)]
+    ((_, f),) = quality_classifier.feature_chunks(pa.array(texts))
+    grade = np.array([rng.randrange(4) for _ in texts])
+    state = np.random.default_rng(1)
+    weights, base, gaps = state.normal(size=quality_classifier.DIMENSIONS), np.array([-0.7]), np.array([0.2, -0.4])
+    value, by_weights, by_shape = quality_classifier.objective(f, grade, weights, base, gaps)
+    cuts = [-0.7, -0.7 + math.exp(0.2), -0.7 + math.exp(0.2) + math.exp(-0.4)]
+    total = 0.0
+    for r, g in enumerate(grade):
+        strength = sum(v * weights[i] for v, i in zip(f.value[f.bounds[r] : f.bounds[r + 1]], f.index[f.bounds[r] : f.bounds[r + 1]]))
+        upto = [0.0, *(1 / (1 + math.exp(strength - c)) for c in cuts), 1.0]
+        total -= math.log(upto[g + 1] - upto[g])
+    assert value == pytest.approx(total / len(grade) + 0.5 * quality_classifier.RIDGE * weights @ weights)
+    slope = lambda w, b, g: quality_classifier.objective(f, grade, w, b, g)[0]
+    for k in [*f.index[:5], f.index[-1]]:
+        step = np.zeros(len(weights))
+        step[k] = 1e-5
+        assert by_weights[k] == pytest.approx((slope(weights + step, base, gaps) - slope(weights - step, base, gaps)) / 2e-5, abs=1e-6)
+    both = np.concatenate([base, gaps])
+    for k in range(3):
+        step = np.eye(3)[k] * 1e-5
+        assert by_shape[k] == pytest.approx((slope(weights, (both + step)[:1], (both + step)[1:]) - slope(weights, (both - step)[:1], (both - step)[1:])) / 2e-5, abs=1e-6)
+
+
 def test_registered_quality_on_its_held_out_fold(spark):
     from tidemark.llm import registry
 

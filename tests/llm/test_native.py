@@ -58,6 +58,12 @@ def test_a_filter_on_a_verdict_is_not_pushed_down(spark):
     assert plan.count("Filter ") == 1 and plan.index("Filter ") < plan.index("monotonically_increasing_id")
 
 
+def test_host_and_path_do_not_run_together(spark):
+    rules = spark.createDataFrame([("com", "e", "block"), ("zz", "", "block"), ("b.org", "", "block")], "host string, path string, verdict string")
+    got = url_filters.judge_urls(spark.createDataFrame([("http://come/",), ("http://a.com/e",), ("http://x.b.org",), ("http://b.org/q",)], "url string"), rules).collect()
+    assert {r["url"]: r["rule"] for r in got} == {"http://come/": None, "http://a.com/e": None, "http://x.b.org": "b.org", "http://b.org/q": "b.org"}
+
+
 def test_large_and_small_items_inside_long_texts(spark):
     rng = random.Random(8)
     vocab = [f"w{i}" for i in range(3000)]

@@ -128,34 +128,41 @@ class Ordinal:
 
 
 def _row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(values)])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    """Sum of each row, whatever its neighbours are; every row has its shape features, so none is empty."""
+    return np.add.reduceat(values, bounds[:-1]) if len(values) else np.zeros(len(bounds) - 1)
+
+
+def objective(f: Features, grade: np.ndarray, weights: np.ndarray, base: np.ndarray, gaps: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean negative log likelihood with the ridge, and its gradients by weights and by (base, gaps).
+
+    Thresholds are ``base`` and then ``base`` plus the running sum of exp(gaps).
+    """
+    n, grades = len(grade), len(gaps) + 2
+    cuts = np.concatenate([base, base + np.cumsum(np.exp(gaps))])
+    strength = _row_sums(f.value * weights[f.index], f.bounds)
+    edges = np.concatenate([[-np.inf], cuts, [np.inf]])
+    high = np.where(grade == grades - 1, 1.0, logistic(edges[np.minimum(grade + 1, grades - 1)] - strength))
+    low = np.where(grade == 0, 0.0, logistic(edges[np.maximum(grade, 1)] - strength))
+    p = np.maximum(high - low, 1e-12)
+    dh, dl = high * (1 - high) / p, low * (1 - low) / p
+    row = np.repeat(np.arange(n), np.diff(f.bounds))
+    g_weights = np.bincount(f.index, weights=f.value * ((dh - dl) / n)[row], minlength=DIMENSIONS) + RIDGE * weights
+    g_cuts = np.array([-dh[grade == k].sum() + dl[grade == k + 1].sum() for k in range(grades - 1)]) / n
+    tail = np.cumsum(g_cuts[::-1])[::-1]
+    return -np.log(p).mean() + 0.5 * RIDGE * weights @ weights, g_weights, np.concatenate([tail[:1], tail[1:] * np.exp(gaps)])
 
 
 def fit_ordinal(f: Features, grade: np.ndarray, grades: int) -> Ordinal:
     """Maximum likelihood with a small ridge, by adaptive gradient steps over all rows."""
-    n = len(grade)
     weights = np.zeros(DIMENSIONS)
     # thresholds start at the grades' own frequencies; gaps stay positive as exponentials
     below = np.clip(np.array([(grade <= k).mean() for k in range(grades - 1)]), 0.01, 0.99)
     start = np.log(below / (1 - below))
     start = np.maximum.accumulate(start + 1e-3 * np.arange(grades - 1))
     base, gaps = start[:1].copy(), np.log(np.maximum(np.diff(start), 1e-3))
-    row = np.repeat(np.arange(n), np.diff(f.bounds))
     moments = [np.zeros(DIMENSIONS), np.zeros(DIMENSIONS), np.zeros(grades - 1), np.zeros(grades - 1)]
     for step in range(1, STEPS + 1):
-        cuts = np.concatenate([base, base + np.cumsum(np.exp(gaps))])
-        strength = _row_sums(f.value * weights[f.index], f.bounds)
-        edges = np.concatenate([[-np.inf], cuts, [np.inf]])
-        high = np.where(grade == grades - 1, 1.0, logistic(edges[np.minimum(grade + 1, grades - 1)] - strength))
-        low = np.where(grade == 0, 0.0, logistic(edges[np.maximum(grade, 1)] - strength))
-        p = np.maximum(high - low, 1e-12)
-        dh, dl = high * (1 - high) / p, low * (1 - low) / p
-        g_strength = (dh - dl) / n
-        g_weights = np.bincount(f.index, weights=f.value * g_strength[row], minlength=DIMENSIONS) + RIDGE * weights
-        g_cuts = np.array([-dh[grade == k].sum() + dl[grade == k + 1].sum() for k in range(grades - 1)]) / n
-        tail = np.cumsum(g_cuts[::-1])[::-1]
-        g_shape = np.concatenate([tail[:1], tail[1:] * np.exp(gaps)])
+        _, g_weights, g_shape = objective(f, grade, weights, base, gaps)
         for g, m, v, put in ((g_weights, 0, 1, "w"), (g_shape, 2, 3, "c")):
             moments[m] = 0.9 * moments[m] + 0.1 * g
             moments[v] = 0.99 * moments[v] + 0.01 * g * g

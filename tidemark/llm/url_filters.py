@@ -1,6 +1,6 @@
 """URL filters: host-suffix and path-prefix expressions, joined to rules on short hash prefixes.
 
-Every URL is expanded to ``host suffix + path prefix`` expressions, for the label counts and path
+Every URL is expanded to expressions of a host suffix and a path prefix, with a separator that no host holds, for the label counts and path
 lengths that occur among the rules.  Expressions and rules are equi-joined on the first 32 bits of
 their SHA-256 and confirmed on the whole digest.  The longest fitting rule (host and path together,
 then host) wins; of two equal rules with different verdicts, block wins.
@@ -28,6 +28,9 @@ ALLOW, BLOCK = "allow", "block"
 #: Hex digits of the digest that expressions and rules are joined on.
 PREFIX_DIGITS = 8
 
+#: Stands between host and path where they are hashed; in a host it would end it.
+BETWEEN = "?"
+
 #: The rules of op1: (host, path, verdict).
 RULES = [
     ("com", "/", ALLOW),
@@ -57,7 +60,7 @@ def expressions(host: Column, path: Column, labels: list[int], lengths: list[int
         F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(path)),
         lambda n: F.substring(path, F.lit(1), n),
     )
-    return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
+    return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, F.lit(BETWEEN), p))))
 
 
 def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str = ALLOW) -> DataFrame:
@@ -82,7 +85,8 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
             (F.length("r_host") + F.length("r_path")).alias("size"),
             F.length("r_host").alias("host_size"),
             "r_verdict",
-        ).withColumn("r_digest", digest(F.col("rule")))
+            F.concat("r_host", F.lit(BETWEEN), "r_path").alias("expr"),
+        ).withColumn("r_digest", digest(F.col("expr"))).drop("expr")
         coded = coded.withColumn("short", F.substring("r_digest", 1, PREFIX_DIGITS))
         keys = urls.where(F.col("__tm_host") != "").select("__tm_host", "__tm_path").distinct()
         expanded = keys.select(
