@@ -108,7 +108,36 @@ def test_running_sum_and_rank_match_plain_windows(spark):
     want = by_seq(df.withColumn("s", F.sum("v").over(w)), "s")
     assert by_seq(series.running_sum(df, F.col("v"), "s", size=32), "s") == want
     r = Window.partitionBy("symbol").orderBy("v", "capture_seq")
-    assert by_seq(series.ranked(df, ["v", "capture_seq"], ["symbol"], 8), "rn") == by_seq(df.withColumn("rn", F.row_number().over(r)), "rn")
+    assert by_seq(series.ranked(df, ["v", "capture_seq"], ["symbol"]), "rn") == by_seq(df.withColumn("rn", F.row_number().over(r)), "rn")
+
+
+def test_average_ranks_share_ties(spark):
+    values = [3, 1, 1, 2, 2, 2, 9]
+    got = {r["v"]: r["rank"] for r in series.average_ranks(spark.createDataFrame([("A", v) for v in values], "symbol string, v int"), "v", ["symbol"], "rank").collect()}
+    assert got == {1: 1.5, 2: 4.0, 3: 6.0, 9: 7.0}
+
+
+def test_rows_of_one_instant_see_no_later_one(spark):
+    df = frame(spark, [(0, 100), (1, 101), (1, 150), (2, 150)])
+    vol = by_seq(history.realized_volatility(df, {"5s": 5 * S}), "realized_volatility_5s")
+    want = [None, abs(math.log(1.01)), abs(math.log(1.5)), abs(math.log(1.5))]
+    assert [v for (v,) in vol] == [w if w is None else pytest.approx(w) for w in want]
+    back = by_seq(history.backward_returns(df, {"1s": S}), "return_1s")
+    assert [v for (v,) in back] == [None, pytest.approx(math.log(1.01)), pytest.approx(math.log(1.5)), pytest.approx(0)]
+
+
+def test_nothing_crosses_an_epoch(spark):
+    df = frame(spark, [(0, 100), (1, 110), (2, 121), (3, 133.1)])
+    seqs = sorted(r["capture_seq"] for r in df.collect())
+    marks = df.where(F.col("capture_seq") == seqs[2])
+    cut = history.with_epochs(df, marks.withColumn("capture_seq", F.col("capture_seq") - 0))
+    made = history.backward_returns(cut, {"1s": S}, keys=[*history.KEYS, "epoch"]).orderBy("capture_seq").collect()
+    assert [r["epoch"] for r in made] == [0, 0, 1, 1] and [r["return_1s"] is None for r in made] == [True, False, True, False]
+
+
+def test_intervals_have_no_longest(spark):
+    got = by_seq(clock.intervals(frame(spark, [(0, 1), (1, 1), (9000, 1), (9000, 1), (30000, 1)])), "interval_ms")
+    assert [v for (v,) in got] == [None, 1000, 8999000, 0, 21000000]
 
 
 def test_non_overlapping_is_greedy(spark):

@@ -85,12 +85,13 @@ def emit_on_change(df: DataFrame, columns: list[str], keys: list[str] = KEYS) ->
     return prev.where(~same).drop(*[f"prev_{c}" for c in columns])
 
 
-def intervals(df: DataFrame, keys: list[str] = KEYS, longest_ns: int = 3600 * SECOND) -> DataFrame:
-    """``df`` with ``interval_ms`` since the row before (NULL after an hour or more)."""
-    w = chunk_window(order=["monotonic_ns", "capture_seq"])
-    cut = chunked(df, longest_ns, 0)
-    gap = F.col("monotonic_ns") - F.lag("monotonic_ns").over(w)
-    return at_home(cut.withColumn("interval_ms", F.when(gap < longest_ns, gap / 1e6)))
+def intervals(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """``df`` with ``interval_ms`` since the row before, however long ago; NULL for the first."""
+    cut = chunked(df, 0, 0)
+    ends = cut.groupBy(*keys, "chunk").agg(F.max("monotonic_ns").alias("__end"))
+    ends = ends.withColumn("__before", F.lag("__end").over(Window.partitionBy(*keys).orderBy("chunk"))).drop("__end")
+    before = F.coalesce(F.lag("monotonic_ns").over(chunk_window(keys, ["monotonic_ns", "capture_seq"])), F.col("__before"))
+    return at_home(cut.join(ends, [*keys, "chunk"]).withColumn("interval_ms", (F.col("monotonic_ns") - before) / 1e6).drop("__before"))
 
 
 def recent_summary(df: DataFrame, value: str, keys: list[str], recent: int = 6000) -> DataFrame:

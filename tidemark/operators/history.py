@@ -1,17 +1,20 @@
 """Point-in-time features: backward returns, realised volatility, trade flow.
 
-All frames end at or before a row's own place in the capture order; equal clock values of later
-rows never leak in.  Frames are bounded, so long series are cut in chunks.
+A row sees what was captured up to its own place.  Of several observations of one instant the last one
+captured stands for it, so an earlier instant counts with its last price; at the row's own instant the
+row itself is the last.  Epochs (stretches between resynchronisations) are keys like others, and
+nothing is carried from one to the next.  Frames are bounded, so long series are cut in chunks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tidemark.sources.projections import KEYS
 
-from .series import SECOND, at_home, chunk_window, chunked
+from .series import SECOND, at_home, chunk_window, chunked, running_sum
 
 RETENTION_NS = 15 * SECOND
 RETURN_HORIZONS = {"250ms": SECOND // 4, "1s": SECOND, "5s": 5 * SECOND, "10s": 10 * SECOND}
@@ -23,34 +26,45 @@ def last_of_instant(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     return df.groupBy(*keys, "monotonic_ns").agg(F.max_by(F.struct("*"), "capture_seq").alias("r")).select("r.*")
 
 
-def backward_returns(df: DataFrame, horizons: dict[str, int] = RETURN_HORIZONS, price: str = "price") -> DataFrame:
+def with_epochs(df: DataFrame, marks: DataFrame, keys: list[str] = KEYS, out: str = "epoch") -> DataFrame:
+    """``df`` with the number of ``marks`` (keys, capture_seq) captured before each row."""
+    both = df.withColumn("__mark", F.lit(0)).unionByName(marks.select(*keys, "capture_seq").withColumn("__mark", F.lit(1)), allowMissingColumns=True)
+    return running_sum(both, F.col("__mark"), out, keys).where("__mark = 0").drop("__mark")
+
+
+def _instants(df: DataFrame, before_ns: int, price: str, keys: list[str]) -> tuple[DataFrame, WindowSpec]:
+    """``df`` in chunks with ``__last``, the price of the rows that are their instant's last, and the chunks' window in capture order."""
+    order = chunk_window(keys, ["monotonic_ns", "capture_seq"])
+    out = chunked(df, before_ns, 0).withColumn("__next", F.lead("monotonic_ns").over(order))
+    last = F.when(~F.col("__next").eqNullSafe(F.col("monotonic_ns")), F.col(price).cast("double"))
+    return out.withColumn("__last", last).drop("__next"), order
+
+
+def backward_returns(df: DataFrame, horizons: dict[str, int] = RETURN_HORIZONS, price: str = "price", keys: list[str] = KEYS) -> DataFrame:
     """``df`` with ``return_<h>``: ln of the price over the latest price at or before ``h`` ago, kept for 15 s."""
-    w = chunk_window()
-    out = chunked(df, RETENTION_NS, 0)
-    cols = {
-        f"return_{name}": F.log(F.col(price).cast("double") / F.last(F.col(price).cast("double")).over(w.rangeBetween(-RETENTION_NS, -h)))
-        for name, h in horizons.items()
-    }
-    return at_home(out.withColumns(cols))
-
-
-def _root_of_squares(prices: Column) -> Column:
-    squares = F.aggregate(
-        prices,
-        F.struct(F.lit(0.0).alias("s"), F.lit(None).cast("double").alias("last")),
-        lambda a, p: F.struct((a["s"] + F.coalesce(F.pow(F.log(p / a["last"]), F.lit(2.0)), F.lit(0.0))).alias("s"), p.alias("last")),
-        lambda a: a["s"],
-    )
-    return F.when(F.size(prices) >= 2, F.sqrt(squares))
-
-
-def realized_volatility(df: DataFrame, windows: dict[str, int] = WINDOWS, price: str = "price") -> DataFrame:
-    """``df`` with ``realized_volatility_<w>``: root of the summed squared log returns inside the window; NULL below two prices."""
-    w = chunk_window()
-    out = chunked(df, max(windows.values()), 0)
-    out = out.withColumns({f"__p_{n}": F.collect_list(F.col(price).cast("double")).over(w.rangeBetween(-size, 0)) for n, size in windows.items()})
-    out = out.withColumns({f"realized_volatility_{n}": _root_of_squares(F.col(f"__p_{n}")) for n in windows})
-    return at_home(out.drop(*[f"__p_{n}" for n in windows]))
+    out, _ = _instants(df, RETENTION_NS, price, keys)
+    w = chunk_window(keys)
+    cols = {f"return_{name}": F.log(F.col(price).cast("double") / F.last("__last", ignorenulls=True).over(w.rangeBetween(-RETENTION_NS, -h))) for name, h in horizons.items()}
+    return at_home(out.withColumns(cols).drop("__last"))
+
+
+def realized_volatility(df: DataFrame, windows: dict[str, int] = WINDOWS, price: str = "price", keys: list[str] = KEYS) -> DataFrame:
+    """``df`` with ``realized_volatility_<w>``: root of the summed squared log returns inside the window; NULL below two instants.
+
+    A window's sum is that of its instants' squares without the first one's, whose return began before the
+    window; exact decimals keep the difference free of rounding.
+    """
+    out, order = _instants(df, 2 * max(windows.values()), price, keys)
+    w = chunk_window(keys)
+    out = out.withColumn("__prev", F.last("__last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    square = F.coalesce(F.pow(F.log(F.col(price).cast("double") / F.col("__prev")), F.lit(2.0)), F.lit(0.0)).cast("decimal(38,28)")
+    out = out.withColumn("__square", square).withColumn("__own", F.when(F.col("__last").isNotNull(), F.col("__square")))
+    cols = {}
+    for name, size in windows.items():
+        past = w.rangeBetween(-size, -1)
+        inner = F.sum("__own").over(past) - F.first("__own", ignorenulls=True).over(past) + F.col("__square")
+        cols[f"realized_volatility_{name}"] = F.sqrt(inner.cast("double"))
+    return at_home(out.withColumns(cols).drop("__last", "__prev", "__square", "__own"))
 
 
 def flow_ratios(name: str) -> dict[str, Column]:

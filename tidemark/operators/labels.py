@@ -7,7 +7,7 @@ integrity boundaries.  Excursions are taken over the path up to and including th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.projections import KEYS
@@ -67,6 +67,12 @@ def forward_labels(
     return at_home(cut.withColumns(made)).select(*mids.columns, *made)
 
 
+def civil_range_labels(mids: DataFrame, inside: Column, bounds: DataFrame, horizons: dict[str, int] = HORIZONS, excursions: tuple[str, ...] = ()) -> DataFrame:
+    """Labels of the rows where ``inside`` holds.  The others stay in the series, and no label reaches across one."""
+    left_out = mids.where(~inside).select(*KEYS, "monotonic_ns")
+    return forward_labels(mids, bounds.select(*KEYS, "monotonic_ns").unionByName(left_out), horizons, excursions).where(inside)
+
+
 def chronological_split(rows: DataFrame, purge_ns: int, train: float = 0.6, validation: float = 0.2, keys: list[str] = KEYS) -> DataFrame:
     """``rows`` with ``part`` (train, validation, test); rows whose horizon reaches past their part's end are left out."""
     placed = ranked(rows, ["monotonic_ns", "capture_seq"], keys).withColumn("__i", F.col("rn") - 1)

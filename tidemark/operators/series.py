@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import shared_table
 from tidemark.sources.projections import KEYS
 
 #: Nanoseconds of a chunk: long against the contexts, short against a day.
@@ -46,21 +47,35 @@ def running_sum(df: DataFrame, value: Column, out: str, keys: list[str] = KEYS,
     return cut.join(totals, [*keys, "__part"]).withColumn(out, F.sum("__value").over(inside) + F.col("__carry")).drop("__part", "__value", "__carry")
 
 
-def ranked(df: DataFrame, by: list[str], keys: list[str], pieces: int = 64, ties: bool = False) -> DataFrame:
-    """``df`` with ``rn`` (1-based place in ``by`` order within ``keys``), ``n`` and, with ``ties``, the average-tie ``avg_rank`` of by[0].
+def _cut_by_value(df: DataFrame, by: list[str], name: str) -> DataFrame:
+    """``df`` dealt to ranges of ``by`` as a table with the range's number ``__part``; equal values share a range."""
+    whole = shared_table(df, name)
+    return shared_table(whole.repartitionByRange(*by).withColumn("__part", F.spark_partition_id()), name)
 
-    Values are dealt to ``pieces`` value ranges by approximate quantiles of by[0]; places are counted
-    inside a range and shifted by the sizes of the ranges below.  Equal values share a range.
+
+def _shifted(cut: DataFrame, keys: list[str], size: Column) -> DataFrame:
+    """(keys, __part, __shift, n): ``size`` summed over the ranges below and over all; a row per key and range."""
+    below = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy(*keys, "__part").agg(size.alias("__n"))
+    return sizes.select(*keys, "__part", F.coalesce(F.sum("__n").over(below), F.lit(0)).alias("__shift"), F.sum("__n").over(Window.partitionBy(*keys)).alias("n"))
+
+
+def ranked(df: DataFrame, by: list[str], keys: list[str]) -> DataFrame:
+    """``df`` with ``rn`` (1-based place in ``by`` order within ``keys``) and ``n``.
+
+    Rows are dealt to value ranges, whose number follows the data; places are counted inside a range
+    and shifted by the sizes of the ranges below.
     """
-    first = by[0]
-    cuts = df.groupBy(*keys).agg(F.percentile_approx(F.col(first).cast("double"), [i / pieces for i in range(1, pieces)], 1000).alias("__cuts"), F.count(F.lit(1)).alias("n"))
-    cut = df.join(cuts, keys).withColumn("__piece", F.size(F.filter(F.array_distinct("__cuts"), lambda c: c < F.col(first).cast("double")))).drop("__cuts")
-    below = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = cut.groupBy(*keys, "__piece").agg(F.count(F.lit(1)).alias("__n")).withColumn("__shift", F.coalesce(F.sum("__n").over(below), F.lit(0))).drop("__n")
-    inside = Window.partitionBy(*keys, "__piece").orderBy(*by)
-    out = cut.join(sizes, [*keys, "__piece"]).withColumn("rn", F.row_number().over(inside) + F.col("__shift"))
-    if ties:
-        value = Window.partitionBy(*keys, "__piece").orderBy(first)
-        same = Window.partitionBy(*keys, "__piece", first)
-        out = out.withColumn("avg_rank", F.rank().over(value) + F.col("__shift") + (F.count(F.lit(1)).over(same) - 1) / F.lit(2.0))
-    return out.drop("__piece", "__shift")
+    cut = _cut_by_value(df, [*keys, *by], "ranked")
+    inside = Window.partitionBy(*keys, "__part").orderBy(*by)
+    out = cut.join(_shifted(cut, keys, F.count(F.lit(1))), [*keys, "__part"])
+    return out.withColumn("rn", F.row_number().over(inside) + F.col("__shift")).drop("__part", "__shift")
+
+
+def average_ranks(df: DataFrame, value: str, keys: list[str], rank: str) -> DataFrame:
+    """(keys, value, ``rank``): the average place of each distinct value, so that a frequent one is a single row."""
+    values = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__m"))
+    cut = _cut_by_value(values, [*keys, value], "ranks")
+    inside = Window.partitionBy(*keys, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    out = cut.join(_shifted(cut, keys, F.sum("__m")), [*keys, "__part"])
+    return out.select(*keys, value, (F.coalesce(F.sum("__m").over(inside), F.lit(0)) + F.col("__shift") + (F.col("__m") + 1) / F.lit(2.0)).alias(rank))

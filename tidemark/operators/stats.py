@@ -10,9 +10,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import shared_table
 from tidemark.sources.projections import KEYS
 
-from .series import SECOND, at_home, chunk_window, chunked, ranked
+from .series import SECOND, at_home, average_ranks, chunk_window, chunked, ranked
+from .signals import non_overlapping
 
 TOLERANCE_NS = 150_000_000
 COST_GRID = (0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 7.5, 10.0)
@@ -32,12 +34,38 @@ def pearson(x: Column, y: Column) -> Column:
 
 def correlations(df: DataFrame, keys: list[str], x: str = "x", y: str = "y") -> DataFrame:
     """keys, n, pearson, spearman (average ranks for ties)."""
-    pairs = complete(df, x, y).select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    rx = ranked(pairs, ["x"], keys, ties=True).withColumnRenamed("avg_rank", "rx").drop("rn", "n")
-    both = ranked(rx, ["y"], keys, ties=True).withColumnRenamed("avg_rank", "ry").drop("rn", "n")
+    pairs = shared_table(complete(df, x, y).select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")), "pairs")
+    both = pairs.join(average_ranks(pairs, "x", keys, "rx"), [*keys, "x"]).join(average_ranks(pairs, "y", keys, "ry"), [*keys, "y"])
     return both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), pearson(F.col("x"), F.col("y")).alias("pearson"), pearson(F.col("rx"), F.col("ry")).alias("spearman"))
 
 
+def segment_report(rows: DataFrame, features: list[str], horizons: dict[str, int], directional: list[str], keep: float = 0.6, keys: list[str] = KEYS) -> DataFrame:
+    """A row per keys, ``segment``, feature and horizon with complete pairs.
+
+    ``rows``: keys, segment, capture_seq, monotonic_ns, the features and ``future_return_<h>``.  Returned are n, pearson and
+    spearman of all pairs; apart_n and apart_pearson of those on rows at least a horizon apart (chosen before
+    pairs without a value go); signal_n and edge_bps, the mean signed return at signals beyond ``keep``, where the feature
+    is ``directional``.
+    """
+    group = [*keys, "segment", "feature", "horizon"]
+    rows = shared_table(rows, "segment-rows")
+
+    def tall(of: DataFrame, name: str) -> DataFrame:
+        each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])).alias("f")
+        return of.select(*keys, "segment", F.col(f"future_return_{name}").alias("y"), F.lit(name).alias("horizon"), each).select(*keys, "segment", "horizon", "f.feature", "f.x", "y")
+
+    every, apart = None, None
+    for name, ns in horizons.items():
+        one = tall(rows, name)
+        few = tall(non_overlapping(rows, ns, [*keys, "segment"]), name)
+        every, apart = (one, few) if every is None else (every.unionByName(one), apart.unionByName(few))
+    whole = correlations(every, group)
+    spaced = complete(apart).groupBy(*group).agg(F.count(F.lit(1)).alias("apart_n"), pearson(F.col("x"), F.col("y")).alias("apart_pearson"))
+    signed = F.when(F.col("x") >= keep, F.col("y")).when(F.col("x") <= -keep, -F.col("y")) * 10_000
+    edges = complete(every).where(F.col("feature").isin(directional)).groupBy(*group).agg(F.count(signed).alias("signal_n"), F.avg(signed).alias("edge_bps"))
+    return whole.join(spaced, group, "left").join(edges, group, "left").withColumn("apart_n", F.coalesce("apart_n", F.lit(0)))
+
+
 def quantile_bins(df: DataFrame, keys: list[str], tie: str, bins: int = 10, x: str = "x", y: str = "y") -> DataFrame:
     """Equal-count bins of x in source order for ties: count, range of x, mean, deviation and error of y."""
     placed = ranked(complete(df, x, y), [x, tie], keys).withColumn("bin", F.expr(f"(rn * {bins} - 1) div n"))

@@ -120,6 +120,23 @@ _flow_1s = """f_1s AS (
   SELECT t.capture_seq, coalesce(sum(CASE WHEN e.side = 'BUY' THEN e.qty END), 0) AS buy, coalesce(sum(CASE WHEN e.side = 'SELL' THEN e.qty END), 0) AS sell, count(e.capture_seq) AS n
   FROM mids t LEFT JOIN trades e ON t.symbol = e.symbol AND e.monotonic_ns BETWEEN t.monotonic_ns - 1000000000 AND t.monotonic_ns AND e.capture_seq <= t.capture_seq GROUP BY t.capture_seq
 ), i_1s AS (SELECT capture_seq, n, CASE WHEN buy + sell > 0 THEN CAST(buy - sell AS DOUBLE) / CAST(buy + sell AS DOUBLE) END AS imb FROM f_1s)"""
+_EPOCHS = """c AS (SELECT m.capture_session_id, m.symbol, m.capture_seq, m.monotonic_ns // 500000000 * 500000000 AS ns, m.p, coalesce(b.n, 0) AS epoch
+  FROM mids m ASOF LEFT JOIN (SELECT symbol, capture_seq, row_number() OVER (PARTITION BY symbol ORDER BY capture_seq) AS n FROM obs WHERE event_type = 'error' AND k < 10) b ON m.symbol = b.symbol AND m.capture_seq >= b.capture_seq),
+ret AS (SELECT m.capture_seq, h.h, ln(m.p / arg_max(e.p, e.capture_seq)) AS v FROM (VALUES (1000000000), (5000000000)) h(h), c m JOIN c e ON m.symbol = e.symbol AND m.epoch = e.epoch AND e.ns <= m.ns - h.h AND e.ns >= m.ns - 15000000000 GROUP BY m.capture_seq, m.p, h.h),
+seen AS (SELECT m.capture_seq, e.ns, arg_max(e.p, e.capture_seq) AS p FROM c m JOIN c e ON m.symbol = e.symbol AND m.epoch = e.epoch AND e.capture_seq <= m.capture_seq AND e.ns >= m.ns - 5000000000 GROUP BY m.capture_seq, e.ns),
+vol AS (SELECT capture_seq, CASE WHEN count(*) >= 2 THEN sqrt(sum(q)) END AS v FROM (SELECT capture_seq, power(ln(p / lag(p) OVER (PARTITION BY capture_seq ORDER BY ns)), 2) AS q FROM seen) GROUP BY capture_seq)"""
+_CIVIL = "bnd AS (SELECT symbol, monotonic_ns FROM obs WHERE event_type = 'error' AND k < 10 UNION ALL SELECT symbol, monotonic_ns FROM mids WHERE hour(ts) NOT BETWEEN 6 AND 17)"
+_SEGMENTS = """v AS (SELECT m.*, strftime(ts, '%Y-%m-%d') AS segment FROM mids m WHERE feature_valid),
+labs AS (SELECT capture_seq, '500ms' AS horizon, ln(t_p / p) AS y FROM l_500ms WHERE ok UNION ALL SELECT capture_seq, '1s', ln(t_p / p) FROM l_1s WHERE ok),
+pairs AS (SELECT v.capture_session_id, v.symbol, v.segment, v.capture_seq, f.feature, l.horizon, f.x, l.y FROM v JOIN r_1s a USING (capture_seq) JOIN labs l USING (capture_seq), LATERAL (SELECT 'x' AS feature, v.x AS x UNION ALL SELECT 'return_1s', a.v) f WHERE f.x IS NOT NULL),
+hop AS MATERIALIZED (SELECT h.horizon, a.symbol, a.segment, a.capture_seq, a.monotonic_ns + h.ns AS due FROM v a, (VALUES ('500ms', 500000000), ('1s', 1000000000)) h(horizon, ns)),
+next_ AS MATERIALIZED (SELECT a.horizon, a.symbol, a.segment, a.capture_seq, b.capture_seq AS next_seq FROM hop a ASOF LEFT JOIN v b ON a.symbol = b.symbol AND a.segment = b.segment AND a.due <= b.monotonic_ns),
+chain AS (SELECT horizon, symbol, segment, min(capture_seq) AS capture_seq FROM hop GROUP BY ALL UNION ALL SELECT n.horizon, n.symbol, n.segment, n.next_seq FROM chain c JOIN next_ n ON n.horizon = c.horizon AND n.capture_seq = c.capture_seq WHERE n.next_seq IS NOT NULL),
+apart AS (SELECT p.symbol, p.segment, p.feature, p.horizon, count(*) AS apart_n, CASE WHEN count(*) >= 2 AND var_pop(x) > 0 AND var_pop(y) > 0 THEN covar_pop(x, y) / (sqrt(var_pop(x)) * sqrt(var_pop(y))) END AS apart_pearson FROM pairs p JOIN chain c ON c.horizon = p.horizon AND c.capture_seq = p.capture_seq GROUP BY ALL),
+placed_ AS (SELECT *, rank() OVER (PARTITION BY symbol, segment, feature, horizon ORDER BY x) + (count(*) OVER (PARTITION BY symbol, segment, feature, horizon, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY symbol, segment, feature, horizon ORDER BY y) + (count(*) OVER (PARTITION BY symbol, segment, feature, horizon, y) - 1) / 2.0 AS ry FROM pairs),
+whole AS (SELECT capture_session_id, symbol, segment, feature, horizon, count(*) AS n, CASE WHEN count(*) >= 2 AND var_pop(x) > 0 AND var_pop(y) > 0 THEN covar_pop(x, y) / (sqrt(var_pop(x)) * sqrt(var_pop(y))) END AS pearson,
+  CASE WHEN count(*) >= 2 AND var_pop(rx) > 0 AND var_pop(ry) > 0 THEN covar_pop(rx, ry) / (sqrt(var_pop(rx)) * sqrt(var_pop(ry))) END AS spearman,
+  CASE WHEN any_value(feature) = 'x' THEN count(CASE WHEN abs(x) >= 0.6 THEN 1 END) END AS signal_n, avg(CASE WHEN feature = 'x' AND x >= 0.6 THEN y WHEN feature = 'x' AND x <= -0.6 THEN -y END) * 10000 AS edge_bps FROM placed_ GROUP BY ALL)"""
 SIGNALS = """fired AS (
   SELECT m.capture_session_id, m.symbol, m.capture_seq, m.monotonic_ns, s.strategy, CASE WHEN s.lo >= 0 THEN 'LONG' ELSE 'SHORT' END AS side, s.score FROM (
     SELECT m.*, i.imb FROM mids m JOIN i_1s i USING (capture_seq) WHERE feature_valid
@@ -213,6 +230,9 @@ SQL: dict[str, str] = {
     + " FROM mids m "
     + " ".join(f"LEFT JOIN e_{h} ON e_{h}.capture_seq = m.capture_seq" for h in ("1s", "2s", "5s")),
     "feature_label_join": f"{with_(OBS, MIDS, BOUNDS, MARKED, _label('1s'), _return('1s', SECOND))} SELECT m.capture_session_id, m.symbol, m.monotonic_ns, {r('m.x', 'x')}, {r('a.v', 'return_1s')}, {r('CASE WHEN l.ok THEN ln(l.t_p / l.p) END', 'future_return_1s')} FROM mids m JOIN r_1s a USING (capture_seq) JOIN l_1s l USING (capture_seq)",
+    "feature_history_epochs": f"{with_(OBS, MIDS, _EPOCHS)} SELECT c.capture_session_id, c.symbol, c.capture_seq, c.ns AS monotonic_ns, c.epoch, {r('a.v', 'return_1s')}, {r('b.v', 'return_5s')}, {r('v.v', 'realized_volatility_5s')} FROM c LEFT JOIN ret a ON a.capture_seq = c.capture_seq AND a.h = 1000000000 LEFT JOIN ret b ON b.capture_seq = c.capture_seq AND b.h = 5000000000 LEFT JOIN vol v ON v.capture_seq = c.capture_seq",
+    "civil_range_labels": f"{with_(OBS, MIDS, _CIVIL, MARKED, _label('500ms'), _label('1s'))} SELECT m.capture_session_id, m.symbol, m.capture_seq, {r('CASE WHEN a.ok THEN ln(a.t_p / a.p) END', 'future_return_500ms')}, {r('CASE WHEN b.ok THEN ln(b.t_p / b.p) END', 'future_return_1s')} FROM mids m JOIN l_500ms a USING (capture_seq) JOIN l_1s b USING (capture_seq) WHERE hour(m.ts) BETWEEN 6 AND 17",
+    "segment_report": "WITH RECURSIVE " + with_(OBS, MIDS, BOUNDS, MARKED, _label("500ms"), _label("1s"), _return("1s", SECOND), _SEGMENTS)[5:] + f" SELECT w.capture_session_id, w.symbol, w.segment, w.feature, w.horizon, n, {r('pearson', 'pearson', 6)}, {r('spearman', 'spearman', 6)}, coalesce(apart_n, 0) AS apart_n, {r('apart_pearson', 'apart_pearson', 6)}, signal_n, {r('edge_bps', 'edge_bps', 6)} FROM whole w LEFT JOIN apart a ON w.symbol = a.symbol AND w.segment = a.segment AND w.feature = a.feature AND w.horizon = a.horizon",
     "feature_label_correlation": f"""{with_(OBS, MIDS, BOUNDS, MARKED, STEPS, *map(_label, ('500ms', '1s', '5s')), _return('250ms', SECOND // 4), _return('1s', SECOND), _vol('5s', 5 * SECOND))},
         feats AS (SELECT m.symbol, m.capture_seq, f.feature, f.x FROM mids m JOIN r_250ms a USING (capture_seq) JOIN r_1s b USING (capture_seq) JOIN v_5s v USING (capture_seq), LATERAL (SELECT 'x' AS feature, m.x AS x UNION ALL SELECT 'return_250ms', a.v UNION ALL SELECT 'return_1s', b.v UNION ALL SELECT 'realized_volatility_5s', v.v) f WHERE m.feature_valid),
         labs AS ({' UNION ALL '.join(f"SELECT capture_seq, '{h}' AS horizon, ln(t_p / p) AS y FROM l_{h} WHERE ok" for h in ('500ms', '1s', '5s'))}),

@@ -114,6 +114,34 @@ def label_excursions(spark: SparkSession, d: str) -> DataFrame:
     return _round(out, names, 6)
 
 
+def feature_history_epochs(spark: SparkSession, d: str) -> DataFrame:
+    """Returns and volatility on a clock of half seconds, where instants have several rows; boundaries start epochs."""
+    obs = _obs(spark, d)
+    coarse = projections.mids(obs).withColumn("monotonic_ns", F.expr("monotonic_ns div 500000000 * 500000000")).select(*KEYS, "capture_seq", "monotonic_ns", "price")
+    keys = [*KEYS, "epoch"]
+    rows = history.with_epochs(coarse, projections.boundaries(obs))
+    rows = history.realized_volatility(history.backward_returns(rows, {"1s": SECOND, "5s": 5 * SECOND}, keys=keys), {"5s": 5 * SECOND}, keys=keys)
+    return _round(rows.drop("price"), ["return_1s", "return_5s", "realized_volatility_5s"])
+
+
+def civil_range_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of a civil range with holes: rows outside it end the labels that would reach them."""
+    obs = _obs(spark, d)
+    mids = projections.mids(obs).withColumn("inside", F.hour("ts").between(6, 17))
+    out = labels.civil_range_labels(mids, F.col("inside"), projections.boundaries(obs), {h: H[h] for h in ("500ms", "1s")})
+    return _round(out.select(*KEYS, "capture_seq", "future_return_500ms", "future_return_1s"), ["future_return_500ms", "future_return_1s"])
+
+
+def segment_report(spark: SparkSession, d: str) -> DataFrame:
+    """Per symbol, day, feature and horizon: correlations of all and of non-overlapping rows, and the edge at strong signals."""
+    obs = _obs(spark, d)
+    names = ["500ms", "1s"]
+    rows = labels.forward_labels(history.backward_returns(projections.mids(obs), {"1s": SECOND}), projections.boundaries(obs), {h: H[h] for h in names}, ())
+    rows = rows.where("feature_valid").withColumn("segment", F.date_format("ts", "yyyy-MM-dd"))
+    out = stats.segment_report(rows.select(*KEYS, "segment", "capture_seq", "monotonic_ns", "x", "return_1s", *[f"future_return_{h}" for h in names]), ["x", "return_1s"], {h: H[h] for h in names}, directional=["x"])
+    return _round(out, ["pearson", "spearman", "apart_pearson", "edge_bps"], 6)
+
+
 def feature_label_join(spark: SparkSession, d: str) -> DataFrame:
     features = history.backward_returns(projections.mids(_obs(spark, d)), {"1s": SECOND}).select(*KEYS, "monotonic_ns", "x", "return_1s")
     target = _labelled(spark, d, ["1s"]).select(*KEYS, "monotonic_ns", "future_return_1s")
