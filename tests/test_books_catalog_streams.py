@@ -53,8 +53,25 @@ def test_reconstruction_bridges_compares_and_counts_gaps(spark):
         ("S", "A", 6, "depth", 110, 111, 109, [], [], None, None),
         ("S", "A", 7, "trusted", None, 111, None, bid, ask, None, None),
     ]
+    rows += [
+        ("S", "A", 8, "bootstrap", None, 200, None, bid, ask, 1000, []),
+        ("S", "A", 9, "trusted", None, 200, None, bid, ask, None, None),
+        ("S", "A", 10, "depth", 150, 160, 149, [(D(100), D(9))], [], None, None),
+        ("S", "A", 11, "depth", 199, 200, 150, [(D(101), D(3))], [], None, None),
+        ("S", "A", 12, "depth", 199, 200, 150, [(D(101), D(3))], [], None, None),
+        ("S", "A", 13, "trusted", None, 200, None, [(D(101), D(3)), (D(100), D(1))], ask, None, None),
+        ("S", "A", 14, "depth", 201, 202, 200, [(D(103), D(1))], [], None, None),
+        ("S", "A", 15, "trusted", None, 202, None, bid, ask, None, None),
+        ("S", "A", 16, "bootstrap", None, 300, None, bid, ask, 1000, [299]),
+        ("S", "A", 17, "trusted", None, 300, None, bid, ask, None, None),
+        ("S", "B", 18, "trusted", None, 1, None, bid, ask, None, None),
+    ]
     got = book.reconstruct(spark.createDataFrame(rows, schema)).orderBy("capture_seq").collect()
-    assert [(r["ok"], r["error"], r["gaps"]) for r in got] == [(True, None, 0), (False, "bids", 0), (False, "no synchronized book", 1)]
+    assert [(r["ok"], r["error"], r["gaps"]) for r in got[:3]] == [(True, None, 0), (False, "bids", 0), (False, "no synchronized book", 1)]
+    assert [(r["ok"], r["error"]) for r in got[3:]] == [(False, "not bridged"), (True, None), (False, "invalid depth: crossed"), (False, "missing buffered depth event 299"), (False, "no synchronized book")]
+    full = spark.createDataFrame(rows, schema).withColumn("best_bid_price", F.when(F.col("capture_seq") == 13, D(101)).otherwise(D(1))).withColumn("spread", F.when(F.col("capture_seq") == 13, D(1)).otherwise(D(7)))
+    errors = {r["capture_seq"]: r["error"] for r in book.reconstruct(full).collect()}
+    assert errors[13] is None and errors[3] == "best_bid_price, spread"
 
 
 def test_price_formulas(spark):
