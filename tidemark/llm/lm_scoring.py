@@ -55,11 +55,11 @@ MIN_DIVERGENCE = 0.02
 NATS_PER_ENTRY = 1.0
 LEAST_GAIN = 4.0
 #: Words and n-grams of highest count that every task holds; bits of a bitmap.
-HEAD_WORDS, HEAD_GRAMS = 1 << 18, 1 << 20
+HEAD_WORDS, HEAD_GRAMS = 1 << 18, 1 << 21
 FILTER_BITS = 26
 END = np.uint64(0x656E642D6F662D74)
 #: Keys gathered in a task before they are reduced to distinct ones.
-GATHER = 1 << 21
+GATHER = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PAIRS = "x long, s long, c long"
 
@@ -152,17 +152,21 @@ def grams(tokens: np.ndarray, place: np.ndarray, filters: list[Bitmap]) -> Itera
         yield at, key, beginning, ending
 
 
+def _packed_order(key: np.ndarray) -> np.ndarray:
+    """The order of keys by their first bits: sorted with each one's place in its last bits, which is several
+    times faster than an indirect sort."""
+    low = np.uint64((1 << len(key).bit_length()) - 1)
+    return (np.sort((key & ~low) | np.arange(len(key), dtype=np.uint64)) & low).astype(np.int64)
+
+
 def _reduced(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Keys (rows of the last array; the others go with it) with repeats put together, and their summed counts.
 
-    Sorted by a key's first bits with its place in the last ones, which is several times faster than
-    an indirect sort; two keys of the same first bits can leave a repeat, whose counts are summed later.
+    Two keys of the same first bits can leave a repeat, whose counts are summed later.
     """
-    n = len(counts)
-    if not n:
+    if not len(counts):
         return keys, counts
-    low = np.uint64((1 << n.bit_length()) - 1)
-    order = (np.sort((keys[-1] & ~low) | np.arange(n, dtype=np.uint64)) & low).astype(np.int64)
+    order = _packed_order(keys[-1])
     own = keys[-1][order]
     heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
     first = order[heads]
@@ -179,8 +183,10 @@ def _summed(arrays: Iterator[list[np.ndarray]], names: list[str], width: int) ->
         return _reduced([np.concatenate(x) for x in zip(keys, new, strict=True)], np.concatenate([counts, n]))
 
     def batches() -> Iterator[pa.RecordBatch]:
+        # rows of one beginning stand together, which makes the shuffle's blocks smaller
+        order = _packed_order(keys[0]) if width > 1 else np.arange(len(counts))
         for i in range(0, len(counts), 1 << 17):
-            part = slice(i, i + (1 << 17))
+            part = order[i : i + (1 << 17)]
             yield pa.RecordBatch.from_arrays([*[pa.array(k[part].view(np.int64)) for k, _ in zip(keys, names, strict=False)], pa.array(counts[part])], names=[*names, "c"])
 
     for a in arrays:
@@ -189,7 +195,7 @@ def _summed(arrays: Iterator[list[np.ndarray]], names: list[str], width: int) ->
         if held >= GATHER:
             keys, counts = reduced()
             fresh, held = [], 0
-            if len(counts) >= 2 * GATHER:
+            if len(counts) >= 4 * GATHER:
                 yield from batches()
                 keys, counts = none, counts[:0]
     keys, counts = reduced()
@@ -302,10 +308,15 @@ def is_held_out(doc_id: Column, folds: int = 10) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds == 0
 
 
-def _row_keys(keys: np.ndarray, at: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``keys`` in order of their places ``at`` with the ends of the rows that ``bounds`` cuts."""
-    order = np.argsort(at, kind="stable")
-    return keys[order], np.searchsorted(at[order], bounds)
+def _row_keys(keys: np.ndarray, at: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """The distinct ``keys`` of each row that ``bounds`` cuts, by their places ``at``, and how often each occurs."""
+    row = np.searchsorted(bounds, at, side="right") - 1
+    order = np.lexsort((keys, row))
+    keys, row = keys[order], row[order]
+    heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    ends = pa.array(np.searchsorted(row[heads], np.arange(len(bounds))), pa.int32())
+    counts = np.diff(np.append(heads, len(keys)))
+    return [pa.ListArray.from_arrays(ends, pa.array(keys[heads].view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.int32)))]
 
 
 def lm_scores(df: DataFrame, train: DataFrame, text: str = "text", depth: int = DEPTH, min_count: int = MIN_COUNT, keep: list[str] | None = None) -> DataFrame:
@@ -342,22 +353,22 @@ def lm_scores(df: DataFrame, train: DataFrame, text: str = "text", depth: int =
                     asked.append(key[unsure])
                     where.append(at[unsure])
                 none = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-                keys, cuts = _row_keys(np.concatenate(asked or none[0]), np.concatenate(where or none[1]), bounds)
+                rare = np.flatnonzero(~known)
                 yield rows, [
                     pa.array(np.diff(bounds)),
                     pa.array(np.add.reduceat(known.astype(np.int64), bounds[:-1])),
                     pa.array(np.add.reduceat(base, bounds[:-1])),
                     pa.array(np.add.reduceat(more, bounds[:-1])),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.add.reduceat((~known).astype(np.int64), bounds[:-1]))]), pa.int32()), pa.array(tokens[~known].view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(keys.view(np.int64))),
+                    *_row_keys(tokens[rare], rare, bounds),
+                    *_row_keys(np.concatenate(asked or none[0]), np.concatenate(where or none[1]), bounds),
                 ]
 
-    names = {"n": T.LongType(), "known": T.LongType(), "base": T.DoubleType(), "more": T.DoubleType(), "words": T.ArrayType(T.LongType()), "grams": T.ArrayType(T.LongType())}
+    names = {"n": T.LongType(), "known": T.LongType(), "base": T.DoubleType(), "more": T.DoubleType(), "words": T.ArrayType(T.LongType()), "words_m": T.ArrayType(T.IntegerType()), "grams": T.ArrayType(T.LongType()), "grams_m": T.ArrayType(T.IntegerType())}
     keep = [c for c in without(df, outputs).columns if keep is None or c in keep]
     scratch = Scratch(spark, "lm-rows")
     rows = scratch.table(arrow_map(df, [quoted(text)], keep, [T.StructField(f"__tm_{n}", t) for n, t in names.items()], run).withColumn("__tm_row", F.monotonically_increasing_id()))
-    # distinct keys of a row with their numbers: a word that no table holds can be frequent
-    asked = lambda c: rows.select("__tm_row", F.explode(f"__tm_{c}").alias("k")).groupBy("__tm_row", "k").agg(F.count(F.lit(1)).alias("m"))
+    # a row per text and distinct key: a word that no table holds can be frequent
+    asked = lambda c: rows.select("__tm_row", F.explode(F.arrays_zip(F.col(f"__tm_{c}").alias("k"), F.col(f"__tm_{c}_m").alias("m"))).alias("a")).select("__tm_row", "a.k", "a.m")
     log_p = F.log((F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) / F.lit(z))
     words = asked("words").join(learned.words.where(~in_words), "k", "left").select(
         "__tm_row", F.when(F.col("c").isNotNull(), F.col("m")).otherwise(0).alias("known"), (F.col("m") * log_p).alias("base"), (F.col("m") * F.coalesce("a", F.lit(0.0))).alias("more")
