@@ -126,30 +126,37 @@ class Landmarks:
         self.codes = {c: i + 1 for i, c in enumerate(letters)}
         base = len(letters) + 1
         self.base = base
-        #: for every triple of letters its weight in each landmark, for landmarks of norm 1
-        self.weights = np.zeros((base**3, len(units)), dtype=np.float32)
-        indexed = []
-        for j, u in enumerate(units):
+        triples, weights, indexed = [], [], []
+        for u in units:
             own = np.array([self.codes[c] for c in u], dtype=np.int64)
-            for x, y, z in combinations(range(len(u)), 3):
-                self.weights[(own[x] * base + own[y]) * base + own[z], j] += DECAY ** (z - x + 1)
-            mine = np.flatnonzero(self.weights[:, j])
-            self.weights[mine, j] /= np.sqrt(self_kernel(np.array([[ord(c) for c in u]]))[0])
-            mass = np.sort(self.weights[mine, j] ** 2)[::-1]
-            most = int(np.searchsorted(np.cumsum(mass), mass.sum() * (1 - RESIDUAL**2))) + 1
-            top = mine[np.argsort(-self.weights[mine, j], kind="stable")[:most]]
-            indexed.append(np.stack([top, np.full(len(top), j)], axis=1))
-        table = np.concatenate(indexed) if indexed else np.zeros((0, 2), np.int64)
-        table = table[np.argsort(table[:, 0], kind="stable")]
-        self.starts = np.searchsorted(table[:, 0], np.arange(base**3 + 1))
-        self.index = table[:, 1]
-        self.index_weight = self.weights[table[:, 0], table[:, 1]]
+            places, factor = _triples(len(u))
+            mine, where = np.unique((own[places[:, 0]] * base + own[places[:, 1]]) * base + own[places[:, 2]], return_inverse=True)
+            weight = np.bincount(where, weights=factor) / np.sqrt(self_kernel(np.array([[ord(c) for c in u]]))[0])
+            order = np.argsort(-weight, kind="stable")
+            mass = weight[order] ** 2
+            triples.append(mine)
+            weights.append(weight)
+            indexed.append(order[: int(np.searchsorted(np.cumsum(mass), mass.sum() * (1 - RESIDUAL**2))) + 1])
+        #: number of each triple of letters that some landmark has, 0 for the others
+        self.number = np.zeros(base**3, dtype=np.int32)
+        used = np.unique(np.concatenate(triples)) if triples else np.zeros(0, np.int64)
+        self.number[used] = np.arange(1, len(used) + 1)
+        #: by number, its weight in each landmark, for landmarks of norm 1
+        self.weights = np.zeros((len(used) + 1, len(units)), dtype=np.float32)
+        for j, (mine, weight) in enumerate(zip(triples, weights, strict=True)):
+            self.weights[self.number[mine], j] = weight
+        tops = [self.number[mine[top]] for mine, top in zip(triples, indexed, strict=True)]
+        rows, marks = (np.concatenate(x) if units else np.zeros(0, np.int64) for x in (tops, [np.full(len(t), j) for j, t in enumerate(tops)]))
+        order = np.argsort(rows, kind="stable")
+        rows, self.index = rows[order], marks[order]
+        self.starts = np.searchsorted(rows, np.arange(len(used) + 2))
+        self.index_weight = self.weights[rows, self.index]
 
     def __reduce__(self):
         return Landmarks, (self.units,)
 
     def _keys(self, units: list[str], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(character codes, triple keys) of units of one length; key 0: a letter that no landmark has."""
+        """(character codes, triples' numbers) of units of one length."""
         raw = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(units), -1).astype(np.int64)
         table = np.zeros(int(raw.max()) + 1, dtype=np.int64)
         for c, k in self.codes.items():
@@ -157,7 +164,8 @@ class Landmarks:
                 table[ord(c)] = k
         code = table[raw]
         one, two, three = (code[:, places[:, i]] for i in range(3))
-        return raw, np.where((one > 0) & (two > 0) & (three > 0), (one * self.base + two) * self.base + three, 0)
+        # a letter that no landmark has is 0, and so is the number of every triple with one
+        return raw, self.number[(one * self.base + two) * self.base + three]
 
     @staticmethod
     def _by_length(units: list[str]) -> Iterator[tuple[int, list[int]]]:
