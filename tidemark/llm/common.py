@@ -35,12 +35,24 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df``, written and read back; the write's own shuffle files go as soon as it has ended."""
+    conf = df.sparkSession.conf
+    before = conf.get(_DROP_SHUFFLES, "false")
+    conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_DROP_SHUFFLES, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lineage cut that survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, f"{shared_dir(df.sparkSession)}/tidemark/{name}-{uuid.uuid4().hex}")
 
 
 class Scratch:
@@ -53,10 +65,8 @@ class Scratch:
 
     def table(self, df: DataFrame) -> DataFrame:
         """``df``, written and read back."""
-        path = f"{self.root}/{self.made}"
         self.made += 1
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return written(df, f"{self.root}/{self.made - 1}")
 
     def drop(self, first: int, last: int) -> None:
         """Delete the tables number ``first`` to ``last`` (not included)."""

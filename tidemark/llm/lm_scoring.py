@@ -59,7 +59,7 @@ HEAD_WORDS, HEAD_GRAMS = 1 << 18, 1 << 21
 FILTER_BITS = 26
 END = np.uint64(0x656E642D6F662D74)
 #: Keys gathered in a task before they are reduced to distinct ones.
-GATHER = 1 << 20
+GATHER = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PAIRS = "x long, s long, c long"
 
