@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontamination, lm_scoring, near_dedup, pii, quality_classifier, quality_rules, token_counts, toxicity, url_filters
+from . import bpe_codec, decontamination, lm_scoring, near_dedup, pii, quality_classifier, quality_rules, simhash, token_counts, toxicity, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe_codec": bpe_codec.op8_bpe_codec,
     "op9_pii": pii.op9_pii,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op13_simhash": simhash.op13_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
