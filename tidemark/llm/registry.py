@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, bpe_codec, decontamination, lm_scoring, near_dedup, pii, quality_classifier, quality_rules, simhash, token_counts, toxicity, url_filters
+from . import alignment, bpe_codec, decontamination, lm_scoring, near_dedup, pii, prefix_trie, quality_classifier, quality_rules, simhash, token_counts, toxicity, url_filters
 
 QUERIES = {
     "op1_url_filters": url_filters.op1_url_filters,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe_codec": bpe_codec.op8_bpe_codec,
     "op9_pii": pii.op9_pii,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_alignment": alignment.op12_alignment,
     "op13_simhash": simhash.op13_simhash,
 }
