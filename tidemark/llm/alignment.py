@@ -40,11 +40,11 @@ from .common import Scratch, arrow_map, quoted, read_table, slices, without
 from .vocab import byte_alphabet
 
 #: UTF-8 bytes of text whose tokens a task holds at a time.
-SLICE_BYTES = 1 << 22
-DUCKDB_MEMORY = "300MB"
+SLICE_BYTES = 1 << 21
+DUCKDB_MEMORY = "200MB"
 #: Distinct chunks aligned at a time, and how many a worker keeps before it starts anew.
-ALIGN_CHUNKS = 25_000
-KNOWN_CHUNKS = 300_000
+ALIGN_CHUNKS = 20_000
+KNOWN_CHUNKS = 100_000
 #: Fixed value: how a byte-level vocabulary cuts texts into pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Below it no character was assigned after Unicode 7.
