@@ -1,4 +1,4 @@
-"""Order books: array expressions, top-n by last value, and the sequential fold with reconstruction checks."""
+"""Order books: array expressions, top-n by last value, the sequential state, and comparison with rebuilt books."""
 
 from __future__ import annotations
 
@@ -6,15 +6,15 @@ from bisect import bisect_left, insort
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import prices
-from tidemark.session import shared_table
 from tidemark.sources.projections import KEYS
 
-from .series import running_sum
+from . import rebuild
+from .rebuild import bridges as bridges
+
 
 TIES = ["l_linenumber", "l_partkey", "l_suppkey", "quantity"]
 
@@ -55,11 +55,6 @@ def level_violations(levels: DataFrame, book: str = "book_id") -> DataFrame:
     return bad.unionByName(twice).unionByName(state)
 
 
-def bridges(first_id: Column, final_id: Column, snapshot_id: Column) -> Column:
-    """Whether a diff spans a snapshot's update id."""
-    return (first_id <= snapshot_id) & (final_id >= snapshot_id)
-
-
 class BookError(ValueError):
     """An update that would leave an invalid book; nothing of it is applied."""
 
@@ -139,46 +134,6 @@ class Book:
         return [(p, b.quantity[p]) for p in b.prices[: -n - 1 : -1]], [(p, a.quantity[p]) for p in a.prices[:n]]
 
 
-def _chained(events: DataFrame) -> DataFrame:
-    """Snapshots, the updates that belong to them and the recorded books, in the order in which they apply.
-
-    A generation starts at each bootstrap or lifecycle row.  Its updates are the buffered ones that the bootstrap names
-    (looked up among the depth rows since the last lifecycle row) and the depth rows captured after it.
-    ``broken`` is true from the first update on that doesn't follow the one before; ``gap`` marks that one if
-    it comes after the bridge.
-    """
-    marked = running_sum(events, F.col("kind").isin("bootstrap", "lifecycle").cast("long"), "generation")
-    marked = shared_table(running_sum(marked, (F.col("kind") == "lifecycle").cast("long"), "connection"), "book-events")
-    boots = marked.where("kind = 'bootstrap'")
-    anchors = boots.select(*KEYS, "generation", F.col("final_id").alias("anchor"))
-    asked = boots.select(*KEYS, "generation", "connection", F.col("capture_seq").alias("at"), F.posexplode("buffered_ids").alias("place", "final_id"))
-    depth = marked.where("kind = 'depth'")
-    held = depth.select(*KEYS, "connection", "final_id", F.struct("first_id", "previous_id", "bids", "asks", F.col("capture_seq").alias("seq")).alias("u"))
-    # of several rows of one id the last one captured before the bootstrap counts
-    found = asked.join(held, [*KEYS, "connection", "final_id"], "left").withColumn("u", F.when(F.col("u.seq") < F.col("at"), F.col("u")))
-    found = found.groupBy(*KEYS, "generation", "at", "place", "final_id").agg(F.max_by("u", F.col("u.seq")).alias("u"))
-    nothing = {c: F.lit(None).cast(marked.schema[c].dataType) for c in ("snapshot_limit",)}
-    buffered = found.select(
-        *KEYS, "generation", F.col("at").alias("capture_seq"), F.when(F.col("u").isNull(), "missing").otherwise("depth").alias("kind"),
-        (F.col("place") + 1).alias("place"), "final_id", F.col("u.first_id").alias("first_id"), F.col("u.previous_id").alias("previous_id"), F.col("u.bids").alias("bids"), F.col("u.asks").alias("asks"), *[v.alias(c) for c, v in nothing.items()],
-    )
-    columns = buffered.columns
-    rows = marked.where("kind <> 'lifecycle'").withColumn("place", F.lit(0)).select(*columns).unionByName(buffered).join(anchors, [*KEYS, "generation"], "left")
-    order = Window.partitionBy(*KEYS, "generation").orderBy("capture_seq", "place")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    live = (F.col("kind") == "depth") & F.col("anchor").isNotNull()
-    rows = rows.withColumn("reached", F.coalesce(F.max((live & (F.col("final_id") >= F.col("anchor"))).cast("int")).over(before), F.lit(0)) == 1)
-    rows = rows.withColumn("__id", F.when(live & (F.col("reached") | (F.col("final_id") >= F.col("anchor"))), F.col("final_id")))
-    rows = rows.withColumn("__before", F.last("__id", ignorenulls=True).over(before))
-    repeat = F.col("reached") & (F.col("final_id") == F.col("__before"))
-    follows = F.when(F.col("reached"), F.col("previous_id") == F.col("__before")).otherwise(bridges(F.col("first_id"), F.col("final_id"), F.col("anchor")))
-    rows = rows.withColumn("applies", F.col("__id").isNotNull() & ~repeat)
-    wrong = (F.col("applies") & ~F.coalesce(follows, F.lit(False))).cast("int")
-    rows = rows.withColumn("__wrong", wrong).withColumn("broken", F.sum("__wrong").over(order.rowsBetween(Window.unboundedPreceding, 0)) > 0)
-    gap = (F.col("__wrong") == 1) & F.col("reached") & (F.coalesce(F.sum("__wrong").over(before), F.lit(0)) == 0)
-    return rows.withColumn("gap", gap.cast("long")).drop("__id", "__before", "__wrong")
-
-
 _BOOK_FIELDS = ["best_bid_price", "best_bid_quantity", "best_ask_price", "best_ask_quantity", "mid_price", "spread", "spread_bps"]
 
 
@@ -189,47 +144,15 @@ def _derived(bids: Column, asks: Column) -> dict[str, Column]:
     return dict(zip(_BOOK_FIELDS, made, strict=True))
 
 
-def reconstruct(events: DataFrame) -> DataFrame:
-    """Rebuild books from a tagged event stream and compare them with the recorded ones.
-
-    ``events``: keys, capture_seq, kind (lifecycle, depth, bootstrap, trusted), first_id, final_id, previous_id,
-    bids, asks (arrays of (price, quantity)), snapshot_limit, buffered_ids, and for trusted rows any of best_bid_price, best_bid_quantity,
-    best_ask_price, best_ask_quantity, mid_price, spread, spread_bps.  One row per trusted book: capture_seq, ok, error (the
-    fields that differ, or why there is no book), gaps so far in the series.
+def reconstruct(events: DataFrame, chunk_rows: int = rebuild.CHUNK_ROWS) -> DataFrame:
+    """Rebuild books from a tagged event stream (see `rebuild.rebuild`) and compare them with the recorded ones.
 
-    Which updates apply is worked out by joins and windows (`_chained`).  Only levels are folded in Python, one
-    task a generation, so a series with many bootstraps is many tasks; fields are compared by a join.
+    Recorded rows may also have any of best_bid_price, best_bid_quantity, best_ask_price, best_ask_quantity, mid_price,
+    spread, spread_bps.  One row per recorded book: capture_seq, ok, error (the fields that differ, or why there is no
+    book), gaps so far in the series.  A stream with faults of its own is reported by `reconstruction_faults`.
     """
-    rows = shared_table(_chained(events), "book-chain")
-    level = "array<struct<price:decimal(18,8),quantity:decimal(18,8)>>"
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pairs = lambda x: [] if x is None else [(e["price"], e["quantity"]) for e in x]
-        book, reason, out = Book(), "no synchronized book", []
-        for e in pdf.sort_values(["capture_seq", "place"]).itertuples():
-            try:
-                if e.kind == "bootstrap":
-                    book.load(int(e.final_id), pairs(e.bids), pairs(e.asks), None if pd.isna(e.snapshot_limit) else int(e.snapshot_limit))
-                    reason = "not bridged"
-                elif e.kind == "missing":
-                    reason = f"missing buffered depth event {int(e.final_id)}"
-                elif e.kind == "trusted":
-                    most = max(len(pairs(e.bids)), len(pairs(e.asks)))
-                    tops = ([[{"price": p, "quantity": q} for p, q in side] for side in book.top(most)]) if reason is None else [None, None]
-                    out.append([*(getattr(e, k) for k in KEYS), e.capture_seq, reason, book.last_update_id if reason is None else None, *tops])
-                elif e.broken:
-                    reason = "no synchronized book"
-                elif e.applies and reason in (None, "not bridged"):
-                    book.apply(int(e.final_id), pairs(e.bids), pairs(e.asks))
-                    reason = None
-            except BookError as error:
-                reason = f"invalid {e.kind}: {error}"
-        return pd.DataFrame(out, columns=[*KEYS, "capture_seq", "reason", "made_id", "made_bids", "made_asks"])
-
-    schema = ", ".join(f"{k} string" for k in KEYS) + f", capture_seq bigint, reason string, made_id bigint, made_bids {level}, made_asks {level}"
-    made = rows.groupBy(*KEYS, "generation").applyInPandas(fold, schema)
-    counted = running_sum(events.select(*KEYS, "capture_seq", "kind").join(rows.groupBy(*KEYS, "capture_seq").agg(F.sum("gap").alias("gap")), [*KEYS, "capture_seq"], "left"), F.coalesce("gap", F.lit(0)), "gaps")
-    recorded = events.where("kind = 'trusted'").join(made, [*KEYS, "capture_seq"]).join(counted.where("kind = 'trusted'").select(*KEYS, "capture_seq", "gaps"), [*KEYS, "capture_seq"])
+    made = rebuild.rebuild(events, chunk_rows).books
+    recorded = events.where("kind = 'trusted'").join(made, [*KEYS, "capture_seq"])
     differs = {"last_update_id": ("made_id", "final_id"), "bids": ("made_bids", "bids"), "asks": ("made_asks", "asks")}
     tests = [F.when(~F.col(a).eqNullSafe(F.col(b)), F.lit(name)) for name, (a, b) in differs.items()]
     tests += [F.when(~v.cast("double").eqNullSafe(F.col(n).cast("double")), F.lit(n)) for n, v in _derived(F.col("made_bids"), F.col("made_asks")).items() if n in events.columns]
@@ -237,6 +160,12 @@ def reconstruct(events: DataFrame) -> DataFrame:
     return recorded.select(*KEYS, "capture_seq", error.alias("error"), "gaps").select(*KEYS, "capture_seq", F.col("error").isNull().alias("ok"), "error", "gaps")
 
 
+def reconstruction_faults(events: DataFrame, chunk_rows: int = rebuild.CHUNK_ROWS) -> DataFrame:
+    """keys, capture_seq, reason, fatal: where each generation's book ends, whether or not a recorded book follows.
+    ``fatal`` rows (a missing buffered update, a bootstrap that isn't a book) make the whole stream unfit."""
+    return rebuild.rebuild(events, chunk_rows).faults
+
+
 def last_levels(updates: DataFrame, keys: list[str], depth: int = 5) -> DataFrame:
     """The best levels after all updates: the last quantity of each price, zero quantities removed.
 

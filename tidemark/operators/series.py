@@ -47,6 +47,17 @@ def running_sum(df: DataFrame, value: Column, out: str, keys: list[str] = KEYS,
     return cut.join(totals, [*keys, "__part"]).withColumn(out, F.sum("__value").over(inside) + F.col("__carry")).drop("__part", "__value", "__carry")
 
 
+def last_before(df: DataFrame, value: Column, out: str, keys: list[str] = KEYS, order: str = "capture_seq", size: int = 1 << 20) -> DataFrame:
+    """``df`` with the last ``value`` that isn't null strictly before each row, in ``order`` (an integer, no ties within ``keys``)."""
+    cut = df.withColumns({"__part": F.floor(F.col(order) / F.lit(size)).cast("long"), "__value": value})
+    lasts = cut.groupBy(*keys, "__part").agg(F.max_by("__value", F.when(F.col("__value").isNotNull(), F.col(order))).alias("__last"))
+    ahead = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = lasts.withColumn("__carry", F.last("__last", ignorenulls=True).over(ahead)).drop("__last")
+    inside = Window.partitionBy(*keys, "__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    own = F.last("__value", ignorenulls=True).over(inside)
+    return cut.join(lasts, [*keys, "__part"]).withColumn(out, F.coalesce(own, F.col("__carry"))).drop("__part", "__value", "__carry")
+
+
 def _cut_by_value(df: DataFrame, by: list[str], name: str) -> DataFrame:
     """``df`` dealt to ranges of ``by`` as a table with the range's number ``__part``; equal values share a range."""
     whole = shared_table(df, name)
