@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracle, queries
+from . import books, oracle, queries
 
 FLAGSHIP = "feature_label_correlation"
 _NO_SQL = ("block_bootstrap_ci",)
+_PARTS = (books,)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: getattr(queries, name) for name in (*oracle.SQL, *_NO_SQL)}
 ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
+for _part in _PARTS:
+    QUERIES |= _part.QUERIES
+    ORACLE_SQL |= _part.SQL
