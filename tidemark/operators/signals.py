@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.projections import KEYS
 
 from .series import running_sum
+from .spacing import non_overlapping as non_overlapping
 
 
 @dataclass(frozen=True)
@@ -66,22 +67,6 @@ def islands(df: DataFrame, gap_ns: int, keys: list[str] = KEYS) -> DataFrame:
     return running_sum(cut.drop("__c", "__prev"), fresh, "island", keys).drop("__before")
 
 
-def non_overlapping(df: DataFrame, horizon_ns: int, keys: list[str] = KEYS) -> DataFrame:
-    """Rows kept by a greedy scan: each at least ``horizon_ns`` after the last kept one."""
-    cut = islands(df, horizon_ns, keys)
-
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("capture_seq")
-        ns = pdf["monotonic_ns"].to_numpy()
-        kept, i = [], 0
-        while i < len(ns):
-            kept.append(i)
-            i = int(np.searchsorted(ns, ns[i] + horizon_ns))
-        return pdf.iloc[kept]
-
-    return cut.groupBy(*keys, "island").applyInPandas(scan, cut.schema).drop("island")
-
-
 TRADE_SCHEMA = "strategy string, side string, entry_ns bigint, exit_ns bigint, entry_mid double, exit_mid double, entry_spread_bps double, exit_spread_bps double, path_max double, path_min double, exit_reason string"
 
 

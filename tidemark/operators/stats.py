@@ -14,7 +14,7 @@ from tidemark.session import shared_table
 from tidemark.sources.projections import KEYS
 
 from .series import SECOND, at_home, average_ranks, chunk_window, chunked, ranked
-from .signals import non_overlapping
+from .spacing import non_overlapping
 
 TOLERANCE_NS = 150_000_000
 COST_GRID = (0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0, 7.5, 10.0)
