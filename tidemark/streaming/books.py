@@ -6,38 +6,52 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-STATE = "last_seq bigint, prices array<double>, quantities array<double>, sides array<string>"
-OUTPUT = "symbol string, capture_seq bigint, best_bid double, best_ask double, levels bigint"
+from tidemark.operators.book import Side
 
+from .keyed import with_state_store
 
-def top_of_book(updates: DataFrame) -> DataFrame:
-    """symbol, capture_seq, best_bid, best_ask, levels after each update of (symbol, capture_seq, side, price, quantity).
+OUTPUT = "symbol string, capture_seq bigint, best_bid double, best_ask double, levels bigint"
 
-    Absolute quantities, 0 removes a level.  Updates must come in capture order across batches: one that
-    doesn't is an error, never dropped.  Only changed levels move; the state is the book's levels.
-    """
 
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, book = -1, {"bid": {}, "ask": {}}
-        if state.exists:
-            last, prices, quantities, sides = state.get
-            for p, q, s in zip(prices, quantities, sides, strict=True):
-                book[s][p] = q
-        rows = pd.concat(list(batches)).sort_values("capture_seq")
-        out = []
-        for r in rows.itertuples():
+class _Top(StatefulProcessor):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "capture_seq bigint")
+        self.levels = handle.getMapState("levels", "side string, price double", "quantity double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last = self.last.get()[0] if self.last.exists() else -1
+        book = {"bid": Side(), "ask": Side()}
+        for (side, price), (quantity,) in self.levels.iterator():
+            book[side].put(price, quantity)
+        changed, out = {}, []
+        for r in pd.concat(list(rows)).sort_values("capture_seq").itertuples():
             if r.capture_seq <= last:
                 raise ValueError(f"{key[0]}: capture_seq {r.capture_seq} after {last}")
-            last = r.capture_seq
-            if r.quantity == 0:
-                book[r.side].pop(r.price, None)
+            last = int(r.capture_seq)
+            book[r.side].put(r.price, r.quantity)
+            changed[r.side, r.price] = r.quantity
+            bids, asks = (book[s].prices for s in ("bid", "ask"))
+            out.append((key[0], last, bids[-1] if bids else None, asks[0] if asks else None, len(bids) + len(asks)))
+        for level, quantity in changed.items():
+            if quantity:
+                self.levels.updateValue(level, (quantity,))
             else:
-                book[r.side][r.price] = r.quantity
-            out.append((key[0], last, max(book["bid"], default=None), min(book["ask"], default=None), len(book["bid"]) + len(book["ask"])))
-        flat = [(p, q, s) for s in book for p, q in book[s].items()]
-        state.update((last, [float(x[0]) for x in flat], [float(x[1]) for x in flat], [x[2] for x in flat]))
+                self.levels.removeKey(level)
+        self.last.update((last,))
         yield pd.DataFrame(out, columns=["symbol", "capture_seq", "best_bid", "best_ask", "levels"]).astype({"best_bid": float, "best_ask": float})
 
-    return updates.groupBy("symbol").applyInPandasWithState(fold, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
+    def close(self) -> None:
+        pass
+
+
+def top_of_book(updates: DataFrame) -> DataFrame:
+    """symbol, capture_seq, best_bid, best_ask, levels after each update of (symbol, capture_seq, side, price, quantity).
+
+    Absolute quantities, 0 removes a level.  Updates must come in capture order across batches: one that
+    doesn't is an error, never dropped.  A batch reads its symbols' levels and writes those it changed; prices stay sorted, so
+    an update costs its own level.
+    """
+    with_state_store(updates.sparkSession)
+    return updates.groupBy("symbol").transformWithStateInPandas(_Top(), OUTPUT, "Append", "None")
