@@ -25,18 +25,19 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written to the folder that all executors share and read back: what follows doesn't compute it again.
-
-    The folder is the session's ``spark.checkpoint.dir``; only local mode (tests) may leave it unset.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``; only local mode (tests) may leave it unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir isn't set")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder}/tidemark-events/{name}-{uuid.uuid4().hex}"
+    return folder
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to the shared folder and read back: what follows doesn't compute it again."""
+    path = f"{shared_folder(df.sparkSession)}/tidemark-events/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
