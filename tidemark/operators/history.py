@@ -21,11 +21,6 @@ RETURN_HORIZONS = {"250ms": SECOND // 4, "1s": SECOND, "5s": 5 * SECOND, "10s":
 WINDOWS = {"1s": SECOND, "5s": 5 * SECOND, "10s": 10 * SECOND}
 
 
-def last_of_instant(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Observations with the last one of each instant only."""
-    return df.groupBy(*keys, "monotonic_ns").agg(F.max_by(F.struct("*"), "capture_seq").alias("r")).select("r.*")
-
-
 def with_epochs(df: DataFrame, marks: DataFrame, keys: list[str] = KEYS, out: str = "epoch") -> DataFrame:
     """``df`` with the number of ``marks`` (keys, capture_seq) captured before each row."""
     both = df.withColumn("__mark", F.lit(0)).unionByName(marks.select(*keys, "capture_seq").withColumn("__mark", F.lit(1)), allowMissingColumns=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import spacing
 from tidemark.sources import projections
+from tidemark.streaming import windows
 
 from .oracle import OBS, SECOND, with_
 
@@ -22,8 +23,16 @@ def spacing_gap_free(spark: SparkSession, d: str) -> DataFrame:
     return rows
 
 
-QUERIES = {"spacing_gap_free": spacing_gap_free}
+def session_islands(spark: SparkSession, d: str) -> DataFrame:
+    """Stretches of sign-ups of a series that are at most 3 s apart, as session windows."""
+    return windows.sessions(projections.observations(spark, d).where("event_type = 'signup'"))
+
+
+QUERIES = {"spacing_gap_free": spacing_gap_free, "session_islands": session_islands}
 SQL = {
+    "session_islands": f"""{with_(OBS)}, marked AS (SELECT *, CASE WHEN monotonic_ns // 1000 - lag(monotonic_ns // 1000) OVER w <= 3000000 THEN 0 ELSE 1 END AS fresh FROM obs WHERE event_type = 'signup' WINDOW w AS (PARTITION BY symbol ORDER BY monotonic_ns)),
+        islands AS (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY monotonic_ns ROWS UNBOUNDED PRECEDING) AS island FROM marked)
+        SELECT capture_session_id, symbol, min(monotonic_ns) AS start_ns, max(monotonic_ns) AS end_ns, min(capture_seq) AS first_seq, max(capture_seq) AS last_seq, count(*) AS rows FROM islands GROUP BY capture_session_id, symbol, island""",
     "spacing_gap_free": f"""{with_(OBS).replace("WITH ", "WITH RECURSIVE ")}, grid AS MATERIALIZED (SELECT capture_session_id, capture_seq, capture_seq * 100000000 + k * 1000000 AS monotonic_ns FROM obs),
         due AS MATERIALIZED (SELECT h.horizon, g.capture_seq, g.monotonic_ns + h.ns AS due FROM grid g, (VALUES ('1s', 1000000000), ('10s', 10000000000)) h(horizon, ns)),
         next_ AS MATERIALIZED (SELECT a.horizon, a.capture_seq, b.capture_seq AS next_seq FROM due a ASOF LEFT JOIN grid b ON a.due <= b.monotonic_ns),
