@@ -14,7 +14,8 @@ Most units are like no landmark, which a bound shows without their kernels: the
 landmark's norm are indexed, the rest of it adds its norm at most (Cauchy-Schwarz), and a unit's own
 norm is least when its characters differ.  Only pairs whose bound reaches ``FLOOR`` are computed.  Units over
 ``WINDOW`` characters are covered by windows, so close that each stretch of ``LONGEST`` characters lies in one; a unit
-with inner punctuation is also compared without it.  Units seen are cached, in bounded space.
+with inner punctuation is also compared without it.  Units seen are cached, in bounded space.  What is learned of a unit
+of more than ``LONGEST`` characters are its stretches of that length, each a landmark like any other, so insults may be of any length.
 
 Training texts are a bounded, documented sample of the labelled rows (`TOXIC_SAMPLE`, `CLEAN_SAMPLE`, by a
 hash of the id); everything else covers all rows.
@@ -94,6 +95,13 @@ def _cover(unit: str) -> list[str]:
     return [unit[i : i + WINDOW] for i in range(0, len(unit) - WINDOW + STRIDE, STRIDE)]
 
 
+def learned_from(unit: str) -> list[str]:
+    """What can become a landmark of a unit: itself, or of a longer one all its stretches of ``LONGEST`` characters."""
+    if len(unit) <= LONGEST:
+        return [unit] if len(unit) >= ORDER else []
+    return [unit[i : i + LONGEST] for i in range(len(unit) - LONGEST + 1)]
+
+
 def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the subsequences of ``n`` characters and their factors."""
     places = np.array(list(combinations(range(n), 3)))
@@ -358,12 +366,12 @@ def _unit_counts(batches):
     counts: dict[str, list[int]] = {}
     for b in batches:
         for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            for u in {unit_of(c) for c in chunks_of(text or "")}:
-                if ORDER <= len(u) <= WINDOW:
-                    counts.setdefault(u, [0, 0])[0 if y else 1] += 1
-        if len(counts) > 500_000:
-            yield _unit_batch(counts)
-            counts = {}
+            units = {unit_of(c) for c in chunks_of(text or "")}
+            for u in {x for unit in units for x in learned_from(unit)}:
+                counts.setdefault(u, [0, 0])[0 if y else 1] += 1
+            if len(counts) > 500_000:
+                yield _unit_batch(counts)
+                counts = {}
     yield _unit_batch(counts)
 
 
