@@ -69,6 +69,7 @@ def forward_labels(
 
 def civil_range_labels(mids: DataFrame, inside: Column, bounds: DataFrame, horizons: dict[str, int] = HORIZONS, excursions: tuple[str, ...] = ()) -> DataFrame:
     """Labels of the rows where ``inside`` holds.  The others stay in the series, and no label reaches across one."""
+    inside = F.coalesce(inside, F.lit(False))
     left_out = mids.where(~inside).select(*KEYS, "monotonic_ns")
     return forward_labels(mids, bounds.select(*KEYS, "monotonic_ns").unionByName(left_out), horizons, excursions).where(inside)
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -90,6 +89,11 @@ def low_quantile(placed: DataFrame, q: float, value: str) -> Column:
     return F.max(F.when(F.col("rn") == F.floor((F.col("n") - 1) * F.lit(q)) + 1, F.col(value)))
 
 
+def middle(placed: DataFrame, value: str) -> Column:
+    """Aggregate: the median of a ``ranked`` table, from its middle places."""
+    return F.avg(F.when((F.col("rn") == F.expr("(n + 1) div 2")) | (F.col("rn") == F.expr("(n + 2) div 2")), F.col(value)))
+
+
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """name, rows, missing, nan, inf, min, median, p95, p99, max of each column; quantiles of low rank."""
     tall = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns])).alias("e")).select("e.*")
@@ -100,7 +104,7 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     )
     placed = ranked(tall.where(fine), ["v"], ["name"])
     own = placed.groupBy("name").agg(
-        F.min("v").alias("min"), F.percentile("v", 0.5).alias("median"), low_quantile(placed, 0.95, "v").alias("p95"), low_quantile(placed, 0.99, "v").alias("p99"), F.max("v").alias("max")
+        F.min("v").alias("min"), middle(placed, "v").alias("median"), low_quantile(placed, 0.95, "v").alias("p95"), low_quantile(placed, 0.99, "v").alias("p99"), F.max("v").alias("max")
     )
     return base.join(own, "name", "left")
 
@@ -123,14 +127,18 @@ def moments(df: DataFrame, keys: list[str], x: str = "x", y: str = "y") -> DataF
 
 
 def merged_correlation(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Correlation from partial moments: NULL below three rows, clamped to [-1, 1]."""
+    """Correlation from partial moments: NULL below three rows, clamped to [-1, 1].
+
+    Parts are merged by their deviations from the merged means, which don't cancel where means are large against the spread.
+    """
     n = F.sum("n")
-    mx, my = F.sum(F.col("n") * F.col("mx")) / n, F.sum(F.col("n") * F.col("my")) / n
-    sxx = F.sum("sxx") + F.sum(F.col("n") * F.col("mx") * F.col("mx")) - n * mx * mx
-    syy = F.sum("syy") + F.sum(F.col("n") * F.col("my") * F.col("my")) - n * my * my
-    sxy = F.sum("sxy") + F.sum(F.col("n") * F.col("mx") * F.col("my")) - n * mx * my
-    out = parts.groupBy(*keys).agg(n.alias("n"), sxx.alias("__xx"), syy.alias("__yy"), sxy.alias("__xy"))
-    r = F.try_divide(F.col("__xy"), F.sqrt(F.greatest(F.lit(0.0), F.col("__xx")) * F.greatest(F.lit(0.0), F.col("__yy"))))
+    means = parts.groupBy(*keys).agg(*[(F.sum(F.col("n") * F.col(m)) / n).alias(f"__{m}") for m in ("mx", "my")])
+    both = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    on = means.withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(keys)})
+    apart = parts.join(on, both).withColumns({"__dx": F.col("mx") - F.col("__mx"), "__dy": F.col("my") - F.col("__my")})
+    spread = lambda own, a, b: F.sum(F.col(own) + F.col("n") * F.col(a) * F.col(b))
+    out = apart.groupBy(*keys).agg(n.alias("n"), spread("sxx", "__dx", "__dx").alias("__xx"), spread("syy", "__dy", "__dy").alias("__yy"), spread("sxy", "__dx", "__dy").alias("__xy"))
+    r = F.try_divide(F.col("__xy"), F.sqrt(F.col("__xx")) * F.sqrt(F.col("__yy")))
     return out.select(*keys, "n", F.when((F.col("n") >= 3) & (F.col("__xx") > 0) & (F.col("__yy") > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("correlation"))
 
 
