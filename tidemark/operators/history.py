@@ -76,7 +76,7 @@ def flow_ratios(name: str) -> dict[str, Column]:
     }
 
 
-def trade_flow(ticks: DataFrame, trades: DataFrame, windows: dict[str, int] = WINDOWS, price: str = "price", qty: str = "qty", side: str = "aggressor_side") -> DataFrame:
+def trade_flow(ticks: DataFrame, trades: DataFrame, windows: dict[str, int] = WINDOWS, price: str = "price", qty: str = "qty", side: str = "aggressor_side", keys: list[str] = KEYS) -> DataFrame:
     """``ticks`` with buy, sell, notional and count of the trades in each closed window that ends at the tick.
 
     Sums are exact decimals.  A frame up to one nanosecond before the tick is joined with the trades of
@@ -89,11 +89,11 @@ def trade_flow(ticks: DataFrame, trades: DataFrame, windows: dict[str, int] = WI
         "notional": (F.col(price) * F.col(qty)).cast("decimal(37,16)"),
         "count": F.lit(1).cast("long"),
     }
-    marked = trades.select(*KEYS, "monotonic_ns", "capture_seq", F.lit(False).alias("__tick"), *[v.alias(f"__{n}") for n, v in parts.items()], *[F.lit(None).cast(ticks.schema[c].dataType).alias(f"__c_{c}") for c in ticks.columns])
-    asked = ticks.select(*KEYS, "monotonic_ns", "capture_seq", F.lit(True).alias("__tick"), *[F.lit(None).cast(marked.schema[f"__{n}"].dataType).alias(f"__{n}") for n in parts], *[F.col(c).alias(f"__c_{c}") for c in ticks.columns])
+    marked = trades.select(*keys, "monotonic_ns", "capture_seq", F.lit(False).alias("__tick"), *[v.alias(f"__{n}") for n, v in parts.items()], *[F.lit(None).cast(ticks.schema[c].dataType).alias(f"__c_{c}") for c in ticks.columns])
+    asked = ticks.select(*keys, "monotonic_ns", "capture_seq", F.lit(True).alias("__tick"), *[F.lit(None).cast(marked.schema[f"__{n}"].dataType).alias(f"__{n}") for n in parts], *[F.col(c).alias(f"__c_{c}") for c in ticks.columns])
     both = chunked(marked.unionByName(asked), max(windows.values()), 0)
-    past = chunk_window()
-    instant = Window.partitionBy(*KEYS, "chunk", "monotonic_ns").orderBy("capture_seq").rowsBetween(Window.unboundedPreceding, 0)
+    past = chunk_window(keys)
+    instant = Window.partitionBy(*keys, "chunk", "monotonic_ns").orderBy("capture_seq").rowsBetween(Window.unboundedPreceding, 0)
     cols = {}
     for name, size in windows.items():
         for p in parts:

@@ -47,15 +47,21 @@ def running_sum(df: DataFrame, value: Column, out: str, keys: list[str] = KEYS,
     return cut.join(totals, [*keys, "__part"]).withColumn(out, F.sum("__value").over(inside) + F.col("__carry")).drop("__part", "__value", "__carry")
 
 
-def last_before(df: DataFrame, value: Column, out: str, keys: list[str] = KEYS, order: str = "capture_seq", size: int = 1 << 20) -> DataFrame:
-    """``df`` with the last ``value`` that isn't null strictly before each row, in ``order`` (an integer, no ties within ``keys``)."""
-    cut = df.withColumns({"__part": F.floor(F.col(order) / F.lit(size)).cast("long"), "__value": value})
-    lasts = cut.groupBy(*keys, "__part").agg(F.max_by("__value", F.when(F.col("__value").isNotNull(), F.col(order))).alias("__last"))
+def last_before_each(df: DataFrame, values: dict[str, Column], keys: list[str] = KEYS, order: str = "capture_seq", size: int = 1 << 20) -> DataFrame:
+    """``df`` with, for each name of ``values``, its last value that isn't null strictly before each row, in ``order`` (an
+    integer, no ties within ``keys``)."""
+    cut = df.withColumn("__part", F.floor(F.col(order) / F.lit(size)).cast("long")).withColumns({f"__v_{n}": v for n, v in values.items()})
+    lasts = cut.groupBy(*keys, "__part").agg(*[F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), F.col(order))).alias(f"__l_{n}") for n in values])
     ahead = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    lasts = lasts.withColumn("__carry", F.last("__last", ignorenulls=True).over(ahead)).drop("__last")
+    lasts = lasts.select(*keys, "__part", *[F.last(f"__l_{n}", ignorenulls=True).over(ahead).alias(f"__c_{n}") for n in values])
     inside = Window.partitionBy(*keys, "__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    own = F.last("__value", ignorenulls=True).over(inside)
-    return cut.join(lasts, [*keys, "__part"]).withColumn(out, F.coalesce(own, F.col("__carry"))).drop("__part", "__value", "__carry")
+    own = {n: F.coalesce(F.last(f"__v_{n}", ignorenulls=True).over(inside), F.col(f"__c_{n}")) for n in values}
+    return cut.join(lasts, [*keys, "__part"]).withColumns(own).drop("__part", *[f"__{x}_{n}" for n in values for x in "vc"])
+
+
+def last_before(df: DataFrame, value: Column, out: str, keys: list[str] = KEYS, order: str = "capture_seq", size: int = 1 << 20) -> DataFrame:
+    """``df`` with ``out``, the last ``value`` that isn't null strictly before each row."""
+    return last_before_each(df, {out: value}, keys, order, size)
 
 
 def _cut_by_value(df: DataFrame, by: list[str], name: str) -> DataFrame:
