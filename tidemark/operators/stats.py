@@ -109,13 +109,17 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     return base.join(own, "name", "left")
 
 
-def autocorrelation(df: DataFrame, keys: list[str], lags_ms: tuple[int, ...], value: str = "x") -> DataFrame:
-    """keys, lag_ms, n, acf: correlation with the latest earlier value at least the lag and at most 150 ms more ago."""
-    tall = df.select(*keys, "monotonic_ns", "capture_seq", F.col(value).cast("double").alias("v")).where("v is not null")
+def autocorrelation(df: DataFrame, keys: list[str], lags_ms: tuple[int, ...], value: str = "x", bridge_nulls: bool = True) -> DataFrame:
+    """keys, lag_ms, n, acf: correlation with the latest earlier value at least the lag and at most 150 ms more ago.
+
+    Rows without a value are passed over; with ``bridge_nulls`` off, one that is the latest earlier row leaves the pair out.
+    """
+    tall = df.select(*keys, "monotonic_ns", "capture_seq", F.col(value).cast("double").alias("v"))
+    tall = tall.where("v is not null") if bridge_nulls else tall
     cut = chunked(tall, max(lags_ms) * 1_000_000 + TOLERANCE_NS, 0)
     w = chunk_window(keys)
     cut = cut.withColumns({f"__{m}": F.last("v").over(w.rangeBetween(-(m * 1_000_000 + TOLERANCE_NS), -m * 1_000_000)) for m in lags_ms}).where("home")
-    pairs = cut.select(*keys, "v", F.explode(F.array(*[F.struct(F.lit(m).alias("lag_ms"), F.col(f"__{m}").alias("p")) for m in lags_ms])).alias("e")).select(*keys, "v", "e.*").where("p is not null")
+    pairs = cut.select(*keys, "v", F.explode(F.array(*[F.struct(F.lit(m).alias("lag_ms"), F.col(f"__{m}").alias("p")) for m in lags_ms])).alias("e")).select(*keys, "v", "e.*").where("v is not null and p is not null")
     return pairs.groupBy(*keys, "lag_ms").agg(F.count(F.lit(1)).alias("n"), pearson(F.col("v"), F.col("p")).alias("acf"))
 
 
