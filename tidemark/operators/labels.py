@@ -87,3 +87,10 @@ def chronological_split(rows: DataFrame, purge_ns: int, train: float = 0.6, vali
     end = F.when(F.col("part") == "train", F.col("__e1")).when(F.col("part") == "validation", F.col("__e2"))
     joined = placed.withColumn("part", part).join(ends, keys)
     return joined.where(end.isNull() | (F.col("monotonic_ns") + F.lit(purge_ns) <= end)).select(*rows.columns, "part")
+
+
+def label_value(name: str, df: DataFrame) -> Column:
+    """A label of ``df`` by name, as a double; a name that isn't a label's is an error."""
+    if not name.startswith("future_") or name not in df.columns:
+        raise KeyError(f"unknown label {name}")
+    return F.col(name).cast("double").alias(name)

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import books, engine, files, oracle, queries, records, report, scans
+from . import books, engine, files, health, oracle, queries, records, report, scans
 
 FLAGSHIP = "feature_label_correlation"
 _NO_SQL = ("block_bootstrap_ci",)
-_PARTS = (books, engine, files, records, report, scans)
+_PARTS = (books, engine, files, health, records, report, scans)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: getattr(queries, name) for name in (*oracle.SQL, *_NO_SQL)}
 ORACLE_SQL: dict[str, str] = dict(oracle.SQL)
 for _part in _PARTS:

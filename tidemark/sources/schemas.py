@@ -94,7 +94,8 @@ def merged(streams: dict[str, DataFrame]) -> DataFrame:
 
 
 def parse_wire(df: DataFrame, payload: str = "value") -> DataFrame:
-    """Trades of JSON payloads, unwrapped from ``data``: typed columns, aggressor side; unknown types are errors.
+    """JSON payloads, unwrapped from ``data``, as typed columns: trades with their aggressor side, best prices, depth updates
+    with their levels; unknown types are errors.
 
     Single trades without price or quantity are markers and are left out; aggregates keep them.
     """
@@ -118,18 +119,29 @@ def parse_wire(df: DataFrame, payload: str = "value") -> DataFrame:
         }
     )
     marker = (F.col("kind") == "trade") & ~((F.col("price") > 0) & (F.col("quantity") > 0))
+    ticker, depth = F.col("kind") == "bookTicker", F.col("kind") == "depthUpdate"
+    number = lambda k: F.when(ticker, at(k).try_cast("decimal(18,8)"))
+    pairs = lambda k: F.when(depth, F.transform(F.from_json(at(k), "array<array<string>>"), lambda x: F.struct(x[0].cast("decimal(18,8)").alias("price"), x[1].cast("decimal(18,8)").alias("quantity"))))
+    out = out.withColumns({"best_bid_price": number("b"), "best_bid_quantity": number("B"), "best_ask_price": number("a"), "best_ask_quantity": number("A"), "bids": pairs("b"), "asks": pairs("a")})
     return out.where(~F.coalesce(marker, F.lit(False))).drop("__b", "__e")
 
 
 def symbol_rules(info: DataFrame) -> DataFrame:
-    """symbol, tick_size, step_size, min_notional from a table of (symbol, status, contractType, filters);
-    a symbol that isn't a trading perpetual, or lacks a filter, is an error."""
-    at = lambda kind, field: F.get(F.filter("filters", lambda f: f["filterType"].isin(*kind)), F.lit(0))[field].cast("decimal(18,8)")
+    """symbol, tick_size, step_size, min_quantity, min_notional (NULL without its filter) from a table of (symbol, status, contractType, filters).
+
+    A symbol that isn't a trading perpetual, or has no positive tick or step or no valid least quantity, is an error.
+    """
+    first = lambda *kinds: F.get(F.filter("filters", lambda f: f["filterType"].isin(*kinds)), F.lit(0))
+    fields = info.schema["filters"].dataType.elementType.names
+    number = lambda f, name: f[name].cast("decimal(18,8)") if name in fields else F.lit(None).cast("decimal(18,8)")
+    lot, notional = first("LOT_SIZE"), first("MIN_NOTIONAL", "NOTIONAL")
+    need = lambda c, ok, what: F.when(F.coalesce(ok, F.lit(False)), c).otherwise(F.raise_error(F.concat(F.col("symbol"), F.lit(f": {what}"))).cast("decimal(18,8)"))
+    tick, step, least = number(first("PRICE_FILTER"), "tickSize"), number(lot, "stepSize"), number(lot, "minQty")
     ok = (F.col("status") == "TRADING") & (F.col("contractType") == "PERPETUAL")
-    out = info.select(
+    return info.select(
         F.when(ok, F.col("symbol")).otherwise(F.raise_error(F.concat(F.lit("not a trading perpetual: "), F.col("symbol")))).alias("symbol"),
-        at(["PRICE_FILTER"], "tickSize").alias("tick_size"),
-        at(["LOT_SIZE"], "stepSize").alias("step_size"),
-        at(["MIN_NOTIONAL", "NOTIONAL"], "notional").alias("min_notional"),
+        need(tick, tick > 0, "missing filter, no positive tick size").alias("tick_size"),
+        need(step, step > 0, "missing filter, no positive step size").alias("step_size"),
+        need(least, least >= 0, "missing filter, no valid least quantity").alias("min_quantity"),
+        F.coalesce(number(notional, "notional"), number(notional, "minNotional")).alias("min_notional"),
     )
-    return out.withColumn("tick_size", F.coalesce("tick_size", F.raise_error(F.lit("missing filter")).cast("decimal(18,8)")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -150,3 +151,48 @@ def frozen_violations(spark: SparkSession, root: str, name: str, facts: DataFram
     if merkle_root(table) != name:
         return files.unionByName(spark.createDataFrame([(None, "CHANGED_SELECTION")], files.schema))
     return files
+
+
+def register(spark: SparkSession, root: str, manifests: DataFrame) -> int:
+    """Add manifests (with dataset_id) to the catalog ``root`` as its next version, and return that; an id that is there already
+    is an error.  A version is staged and made visible by a rename, so two writers of one version can't both succeed."""
+    folder = Folder(spark, root)
+    own = manifests.persist()
+    try:
+        version = max([int(n) for n in folder.names("versions")], default=0) + 1
+        every = own if version == 1 else entries(spark, root).unionByName(own)
+        if not every.groupBy("dataset_id").count().where("count > 1").isEmpty():
+            raise IntegrityError("a dataset id is registered already")
+        stage = f"staging/{version}-{uuid.uuid4().hex}"
+        own.sort("first_capture_seq", "file_path").write.parquet(f"{root}/{stage}")
+        if not folder.rename(stage, f"versions/{version}"):
+            folder.remove(stage)
+            raise IntegrityError(f"version {version} of the catalog was written meanwhile")
+        return version
+    finally:
+        own.unpersist()
+
+
+def entries(spark: SparkSession, root: str, session: str | None = None) -> DataFrame:
+    """The catalog's manifests, or those of one session."""
+    names = Folder(spark, root).names("versions")
+    if not names:
+        raise IntegrityError(f"no catalog at {root}")
+    out = spark.read.parquet(*[f"{root}/versions/{n}" for n in names])
+    return out if session is None else out.where(F.col("capture_session_id") == session)
+
+
+def frozen_sources(spark: SparkSession, root: str, paths: DataFrame) -> DataFrame:
+    """The rows of ``paths`` (file_path) that some frozen selection of ``root`` holds: they may not be removed or rewritten."""
+    names = [n for n in Folder(spark, root).names(".") if not n.startswith(".")]
+    if not names:
+        return paths.limit(0)
+    return paths.join(spark.read.parquet(*[f"{root}/{n}" for n in names]).select("file_path"), "file_path", "left_semi")
+
+
+def unfinished_sessions(selection: DataFrame, summaries: DataFrame) -> DataFrame:
+    """(capture_session_id, error): selected sessions without a summary (MISSING), or whose summary isn't final and valid (UNFINISHED).
+    ``summaries``: capture_session_id, status, dataset_valid."""
+    joined = selection.select("capture_session_id").distinct().join(summaries, "capture_session_id", "left")
+    final = F.coalesce((F.col("status") == "FINALIZED") & F.col("dataset_valid"), F.lit(False))
+    return joined.select("capture_session_id", F.when(F.col("status").isNull(), "MISSING").when(~final, "UNFINISHED").alias("error")).where("error is not null")
