@@ -32,3 +32,15 @@ def test_median_from_ranks(spark):
     placed = series.ranked(spark.createDataFrame(rows, "k string, v double"), ["v"], ["k"])
     got = {r.k: r.m for r in placed.groupBy("k").agg(stats.middle(placed, "v").alias("m")).collect()}
     assert got == {k: median(v for x, v in rows if x == k) for k in {r[0] for r in rows}}
+
+
+def test_release_deletes_shared_tables(spark):
+    import os
+
+    from tidemark.session import own_folder, release, shared_table
+
+    kept = shared_table(spark.range(3).toDF("i"), "t")
+    folder = own_folder(spark).removeprefix("file:")
+    assert kept.count() == 3 and os.listdir(folder)
+    release(spark)
+    assert not os.path.exists(folder)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_folder
+from tidemark.session import own_folder
 from tidemark.sources import catalog, projections, verify
 
 from .oracle import OBS, with_
@@ -24,7 +24,7 @@ def _number(symbol: str, kind: str) -> Column:
 def manifest_violations(spark: SparkSession, d: str) -> DataFrame:
     """One file a symbol and kind, with manifests of which some are wrong: what verification finds."""
     obs = projections.observations(spark, d).withColumns({"schema_version": F.lit(1), "dataset_version": F.lit(1), "n": _number("symbol", "event_type")})
-    root = f"{shared_folder(spark)}/tidemark-events/files-{uuid.uuid4().hex}"
+    root = f"{own_folder(spark)}/files-{uuid.uuid4().hex}"
     order = F.when(F.col("n") == 8, -F.col("capture_seq")).otherwise(F.col("capture_seq"))
     rows = obs.select("capture_session_id", "symbol", "event_type", "capture_seq", "schema_version", "dataset_version", "qty", "n", F.col("symbol").alias("of_symbol"), F.col("event_type").alias("of_kind"))
     rows.repartition("of_symbol", "of_kind").sortWithinPartitions("of_symbol", "of_kind", order).drop("n").write.partitionBy("of_symbol", "of_kind").parquet(root)
@@ -48,7 +48,7 @@ def manifest_violations(spark: SparkSession, d: str) -> DataFrame:
 def compaction_equivalence(spark: SparkSession, d: str) -> DataFrame:
     """Files of 500 numbers of a symbol, three of them a bin, rewritten as one file a bin: what each new file holds."""
     obs = projections.observations(spark, d).withColumns({"local_time": F.col("ts"), "cut": F.expr("capture_seq div 500")})
-    folder = f"{shared_folder(spark)}/tidemark-events/compaction-{uuid.uuid4().hex}"
+    folder = f"{own_folder(spark)}/compaction-{uuid.uuid4().hex}"
     rows = obs.select("capture_session_id", "symbol", "event_type", "capture_seq", "local_time", "qty", "cut", F.col("symbol").alias("of"))
     rows.repartition("of", "cut").sortWithinPartitions("of", "cut", "capture_seq").write.partitionBy("of", "cut").parquet(f"{folder}/in")
     files = catalog.manifests(spark.read.parquet(f"{folder}/in"), "event")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import distributions, nearest, nested
-from tidemark.session import shared_folder
+from tidemark.session import own_folder
 from tidemark.sources import features, projections
 from tidemark.sources.projections import KEYS
 
@@ -46,7 +46,7 @@ def nearest_rows(spark: SparkSession, d: str) -> DataFrame:
 def feature_scan(spark: SparkSession, d: str) -> DataFrame:
     """Features recorded in both versions, read back as nested values, looked up by name."""
     obs = projections.observations(spark, d).where("event_type <> 'error'")
-    folder = f"{shared_folder(spark)}/tidemark-events/features-{uuid.uuid4().hex}"
+    folder = f"{own_folder(spark)}/features-{uuid.uuid4().hex}"
     text = F.col("price").cast("string")
     for version in features.VERSIONS:
         made = {"schema_version": F.lit(version), "dataset_version": F.lit(1), "capture_session_id": F.col("capture_session_id"), "capture_seq": F.col("capture_seq"), "symbol": F.col("symbol"), "monotonic_ns": F.col("monotonic_ns")}

@@ -36,8 +36,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def own_folder(spark: SparkSession) -> str:
+    """Where this application's shared tables stand."""
+    return f"{shared_folder(spark)}/tidemark-events/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all shared tables of this application: for when results made of them have been read or written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written to the shared folder and read back: what follows doesn't compute it again."""
-    path = f"{shared_folder(df.sparkSession)}/tidemark-events/{name}-{uuid.uuid4().hex}"
+    """``df``, written to the shared folder and read back: what follows doesn't compute it again.  It stays until `release`."""
+    path = f"{own_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
