@@ -44,3 +44,24 @@ def test_release_deletes_shared_tables(spark):
     assert kept.count() == 3 and os.listdir(folder)
     release(spark)
     assert not os.path.exists(folder)
+
+
+@pytest.mark.parametrize("difference", [False, True])
+def test_bootstrap_by_joins(spark, difference):
+    rng = random.Random(3)
+    rows = [(k, b, rng.random(), rng.choice([0, 1, 3]), rng.random(), rng.choice([0, 2])) for k, n in (("a", 9), ("b", 2), ("one", 1)) for b in rng.sample(range(50), n)]
+    blocks = spark.createDataFrame(rows, "k string, block bigint, high_sum double, high_count bigint, low_sum double, low_count bigint")
+    draw = lambda rep, place, n: (rep * 13 + place * 7 + rep * place) % n
+    got = {r.k: tuple(r)[1:] for r in stats.resampled(blocks, ["k"], 40, difference, draw).collect()}
+
+    def ratio(some):
+        hs, hc, ls, lc = (sum(r[i] for r in some) for i in range(2, 6))
+        return None if not hc or (difference and not lc) else hs / hc - (ls / lc if difference else 0)
+
+    for k in ("a", "b", "one"):
+        own = sorted((r for r in rows if r[0] == k), key=lambda r: r[1])
+        n = len(own)
+        draws = sorted(v for rep in range(40) for v in [ratio([own[draw(rep, i, n)] for i in range(n)])] if v is not None) if n > 1 else []
+        at = lambda q: pytest.approx(draws[int((len(draws) - 1) * q)]) if draws else None  # noqa: E731, B023
+        whole = ratio(own)
+        assert got[k] == (n, None if whole is None else pytest.approx(whole), at(0.025), at(0.975), len(draws))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -216,6 +217,34 @@ def block_bootstrap(blocks: DataFrame, keys: list[str], replications: int = 200,
     return blocks.select(*keys, "block", *sums).groupBy(*keys).applyInPandas(one, f"{schema}, block_count bigint, estimate double, low double, high double, draws bigint")
 
 
+def hashed_draw(replication: Column, place: Column, n: Column) -> Column:
+    """A block's number below ``n``, by a hash of the draw's own numbers."""
+    return F.pmod(F.xxhash64(replication, place), n)
+
+
+def resampled(blocks: DataFrame, keys: list[str], replications: int = 200, difference: bool = False, draw: Callable[[Column, Column, Column], Column] = hashed_draw) -> DataFrame:
+    """`block_bootstrap` as joins, for groups of any number of blocks: keys, block_count, estimate, low, high, draws.
+
+    ``draw`` gives the number of the block that stands at a place of a replication, from the replication, the place and the number of blocks.
+    """
+    sums = ["high_sum", "high_count", "low_sum", "low_count"]
+    placed = shared_table(ranked(blocks.select(*keys, "block", *sums), ["block"], keys).withColumn("place", F.col("rn") - 1), "bootstrap-blocks")
+    share = lambda a, b: F.try_divide(F.col(a).cast("double"), F.col(b))
+    ratio = share("high_sum", "high_count") - (share("low_sum", "low_count") if difference else F.lit(0.0))
+    totals = lambda df, by: df.groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums])
+    whole = totals(placed, keys).select(*keys, ratio.alias("estimate")).join(placed.groupBy(*keys).agg(F.max("n").alias("block_count")), keys)
+    each = placed.where("n >= 2").select(*keys, "place", "n", F.explode(F.sequence(F.lit(0), F.lit(replications - 1))).alias("replication"))
+    picks = each.select(*keys, "replication", draw(F.col("replication"), F.col("place"), F.col("n")).cast("bigint").alias("place"))
+    # equal picks are counted first, so a block is joined once a replication
+    picks = picks.groupBy(*keys, "replication", "place").agg(F.count(F.lit(1)).alias("times"))
+    drawn = picks.join(placed.select(*keys, "place", *sums), [*keys, "place"]).select(*keys, "replication", *[(F.col(c) * F.col("times")).alias(c) for c in sums])
+    values = totals(drawn, [*keys, "replication"]).select(*keys, ratio.alias("v")).where("v is not null")
+    # a value for each replication
+    lists = values.groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("l"))
+    at = lambda q: F.get("l", F.floor((F.size("l") - 1) * q).cast("int"))
+    return whole.join(lists, keys, "left").select(*keys, "block_count", "estimate", at(0.025).alias("low"), at(0.975).alias("high"), F.coalesce(F.size("l"), F.lit(0)).cast("bigint").alias("draws"))
+
+
 def effective_sample_size(df: DataFrame, keys: list[str], order: str, value: str = "x", max_lag: int = 50) -> DataFrame:
     """keys, n, ess.  Lagged moments are aggregated in Catalyst; a group's 50 correlations decide the stop."""
     w = Window.partitionBy(*keys, "__part").orderBy(order)
