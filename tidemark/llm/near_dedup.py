@@ -11,7 +11,7 @@ candidates are verified on their shingles: similarity is the exact J_P or, if la
 index of the shingle sets.  A text that repeats a shingle has the bands of its plain set besides, so a copy
 with repeated lines is a candidate too.
 
-Equal texts are one node from the start, so a group of copies costs one signature.  In a bucket of
+Equal texts are one node from the start (every row is signed; equal ones meet before bands are joined).  In a bucket of
 up to ``SMALL_BUCKET`` texts all pairs are candidates; a text of larger ones is paired with the first text
 among them.  Larger buckets that still span several classes are then closed: all their pairs across classes
 are compared, block by block, so that no task holds more than two blocks of a bucket.  The bucket's main class
