@@ -106,3 +106,11 @@ def test_bits_of_a_small_trie(spark):
     lists = prefix_trie.turn_lists(spark.createDataFrame([(1, 0, "r", "a", "", ""), (2, 0, "r", "a", "", ""), (2, 1, "r", "b", "", "")], SCHEMA), scratch)
     (shard,) = prefix_trie.shard_tries(lists, 1).collect()
     assert (shard.nodes, bytes(shard.louds), len(shard.labels)) == (3, bytes([0b00101]), 32)
+
+
+def test_ids_of_one_path_come_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "BLOCK_BITS", 3)
+    rows = [(i * 7 - 300, 0, "user", "same", "", "") for i in range(90)] + [(5000, 0, "user", "other", "", "")]
+    scratch = prefix_trie.Scratch(spark, "t")
+    lists = prefix_trie.turn_lists(spark.createDataFrame(rows, SCHEMA), scratch)
+    assert found(prefix_trie.prefix_trie(lists, scratch)) == plain(conversations(rows))

@@ -1,7 +1,7 @@
 """Prefix tries of conversations, in level order (LOUDS), with rollups.
 
 Conversations are lists of turn labels (two 64-bit hashes of role and text, and the text's code points); texts
-aren't moved.  Equal lists are one path; the ids that end on it are hashed as one sorted stream.  Paths are sorted
+aren't moved.  Equal lists are one path; the ids that end on it are listed by blocks of their range and hashed as one sorted stream.  Paths are sorted
 and dealt by range, so a shard holds the paths between two prefixes however many share a first turn.  In a shard
 numpy builds the trie in level order: a bit vector with one 1 a child and a closing 0 a node, and an array of labels.
 Rollups go through the levels from the lowest to the root.
@@ -36,6 +36,8 @@ from .common import Scratch, quoted, read_table
 SHARD_TURNS = 1 << 18
 #: Turns that op11's conversations take over at most.
 SHARED_TURNS = 5
+#: Ids that share all but so many low bits are listed together.
+BLOCK_BITS = 16
 NO_MEMBER = hashlib.sha256(b"").hexdigest()
 ROOT_KEY = bytes(16)
 _NODE = T.StructType(
@@ -64,17 +66,18 @@ def turn_lists(df: DataFrame, scratch: Scratch, conv: str = "conv_id", turn: str
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (k1, k2, conv_id): each key's first id, number of ids and digest of all, as a stream."""
+    """From rows (k1, k2, ids) sorted by key and ids: each key's first id, number of ids and digest of all, as a stream."""
     key, first, n, digest = None, 0, 0, None
     out: list[tuple[int, int, str]] = []
     made = lambda: pa.RecordBatch.from_pydict(dict(zip(("conv_id", "n", "ends"), map(list, zip(*out)))), schema=pa.schema([("conv_id", pa.int64()), ("n", pa.int64()), ("ends", pa.string())]))
     for b in batches:
         if not b.num_rows:
             continue
-        k1, k2, ids = (b.column(i).to_numpy() for i in range(3))
+        k1, k2 = (b.column(i).to_numpy() for i in range(2))
+        at, ids = np.asarray(b.column(2).offsets), b.column(2).values.to_numpy()
         starts = np.flatnonzero(np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))).tolist()
-        for i, j in zip(starts, [*starts[1:], len(ids)]):
-            own = ids[i:j].tolist()
+        for i, j in zip(starts, [*starts[1:], len(k1)]):
+            own = ids[at[i] : at[j]].tolist()
             text = ",".join(map(str, own)).encode()
             if key == (k1[i], k2[i]):
                 digest.update(b"," + text)
@@ -93,8 +96,10 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def distinct_paths(lists: DataFrame) -> DataFrame:
     """(conv_id, path, n, ends): each different path with its smallest id, number of ids and the digest of all ids."""
-    keyed = lists.select(F.xxhash64(F.lit(1), "path").alias("k1"), F.xxhash64(F.lit(2), "path").alias("k2"), "conv_id")
-    ends = keyed.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "conv_id").mapInArrow(_groups, "conv_id long, n long, ends string")
+    keyed = lists.select(F.xxhash64(F.lit(1), "path").alias("k1"), F.xxhash64(F.lit(2), "path").alias("k2"), F.shiftright("conv_id", BLOCK_BITS).alias("block"), "conv_id")
+    # ids of a path meet by blocks of their range first, so that a path of very many ids comes as a few sorted lists
+    blocks = keyed.groupBy("k1", "k2", "block").agg(F.sort_array(F.collect_list("conv_id")).alias("ids"))
+    ends = blocks.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "block").select("k1", "k2", "ids").mapInArrow(_groups, "conv_id long, n long, ends string")
     return lists.join(ends, "conv_id")
 
 
