@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.projections import KEYS
 
 from .checks import with_previous
-from .series import SECOND, at_home, chunk_window, chunked, running_sum
+from .series import at_home, chunk_window, chunked, running_sum
 
 
 def rolling_clock(samples: DataFrame, count: int = 5, keys: list[str] = KEYS) -> DataFrame:

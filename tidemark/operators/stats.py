@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_table
 from tidemark.sources.projections import KEYS
 
-from .series import SECOND, at_home, average_ranks, chunk_window, chunked, ranked
+from .series import SECOND, average_ranks, chunk_window, chunked, ranked
 from .spacing import non_overlapping
 
 TOLERANCE_NS = 150_000_000
