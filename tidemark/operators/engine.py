@@ -15,7 +15,7 @@ from tidemark.functions import prices
 from tidemark.sources.projections import KEYS
 
 from . import history
-from .series import SECOND, at_home, chunk_window, chunked, last_before, last_before_each, running_sum
+from .series import SECOND, at_home, chunk_window, chunked, last_before, last_before_each, running_sum, upto
 
 BOOK = ["best_bid_price", "best_bid_quantity", "best_ask_price", "best_ask_quantity", "resync_count", "healthy", "receive_ns", "book_age_ms", "update_id"]
 BOOK_STALE_MS, TRADE_STALE_MS = 3_000, 5_000
@@ -50,28 +50,30 @@ def mid_history(rows: DataFrame, horizons: dict[str, int], windows: dict[str, in
     """
     seen = last_before_each(rows, {"__now": F.when(~F.col("tick"), F.col("mid")), "__now_ns": F.when(~F.col("tick"), F.col("monotonic_ns"))}, keys)
     reach = RETENTION_NS + max(horizons.values())
-    order = chunk_window(keys, ["monotonic_ns", "capture_seq"])
     cut = chunked(seen, max(reach, 2 * max(windows.values())), 0)
-    later = F.first(F.when(~F.col("tick"), F.col("monotonic_ns")), ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    back = Window.partitionBy(*keys, "chunk").orderBy(F.col("monotonic_ns").desc(), F.col("capture_seq").desc())
+    later = F.last(F.when(~F.col("tick"), F.col("monotonic_ns")), ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
     cut = cut.withColumn("__last", F.when(~F.col("tick") & ~later.eqNullSafe(F.col("monotonic_ns")), F.struct("mid", "monotonic_ns")))
     # the last mid of an earlier instant: ranges end a nanosecond before the row
     w = chunk_window(keys)
-    before = F.last("__last", ignorenulls=True).over(w.rangeBetween(-2 * max(windows.values()), -1))
-    square = lambda now, old: F.coalesce(F.pow(F.log(now / old), F.lit(2.0)), F.lit(0.0)).cast("decimal(38,28)")
+    before = F.last("__last", ignorenulls=True).over(upto(w, -1))
+    before = F.when(before["monotonic_ns"] >= F.col("monotonic_ns") - 2 * max(windows.values()), before)
+    square = lambda now, old: F.coalesce(F.pow(F.log(now / old), F.lit(2.0)), F.lit(0.0)).cast("decimal(32,28)")
     cut = cut.withColumn("__before", before).withColumn("__square", F.when(F.col("__last").isNotNull(), square(F.col("mid"), F.col("__before.mid"))))
+    cut = cut.withColumn("__own", history.seen("__square"))
     cols: dict[str, Column] = {}
     for name, h in horizons.items():
-        old = F.last("__last", ignorenulls=True).over(w.rangeBetween(-reach, -h))
+        old = F.last("__last", ignorenulls=True).over(upto(w, -h))
         kept = old["monotonic_ns"] >= F.col("__now_ns") - RETENTION_NS
         unchanged = F.col("monotonic_ns") - h >= F.col("__now_ns")
         cols[f"return_{name}"] = F.when(unchanged, F.lit(0.0)).when(kept, F.log(F.col("__now") / old["mid"]))
     at_tick = F.coalesce(F.col("__now_ns") == F.col("monotonic_ns"), F.lit(False))
-    own = F.when(at_tick, square(F.col("__now"), F.col("__before.mid"))).otherwise(F.lit(0).cast("decimal(38,28)"))
+    own = F.when(at_tick, square(F.col("__now"), F.col("__before.mid"))).otherwise(F.lit(0).cast("decimal(32,28)"))
     for name, size in windows.items():
-        past = w.rangeBetween(-size, -1)
-        total = F.sum("__square").over(past) - F.first("__square", ignorenulls=True).over(past) + own
-        cols[f"realized_volatility_{name}"] = F.when(F.count("__square").over(past) + at_tick.cast("int") >= 2, F.sqrt(total.cast("double")))
-    return at_home(cut.withColumns(cols).where("tick").drop("__now", "__now_ns", "__last", "__before", "__square"))
+        total = history.reach_squares(size, keys) + own
+        count = F.count("__square").over(upto(w, -1)) - F.count("__square").over(upto(w, -size - 1))
+        cols[f"realized_volatility_{name}"] = F.when(count + at_tick.cast("int") >= 2, F.sqrt(total.cast("double")))
+    return at_home(cut.withColumns(cols).where("tick").drop("__now", "__now_ns", "__last", "__before", "__square", "__own"))
 
 
 def feature_engine(events: DataFrame, book_stale_ms: int = BOOK_STALE_MS, trade_stale_ms: int = TRADE_STALE_MS) -> DataFrame:

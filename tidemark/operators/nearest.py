@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.projections import KEYS
 
-from .series import CHUNK_NS, at_home, chunk_window, chunked
+from .series import CHUNK_NS, at_home, backward_window, chunk_window, chunked, upto
 
 
 def nearest(targets: DataFrame, rows: DataFrame, tolerance_ns: int, columns: list[str], keys: list[str] = KEYS, chunk_ns: int = CHUNK_NS) -> DataFrame:
@@ -20,9 +20,10 @@ def nearest(targets: DataFrame, rows: DataFrame, tolerance_ns: int, columns: lis
     one = rows.groupBy(*keys, "monotonic_ns").agg(F.min_by(F.struct(F.col("monotonic_ns").alias("near_ns"), *columns), "capture_seq").alias("__r"))
     asked = targets.select(*keys, "monotonic_ns", F.struct(*[F.col(c) for c in names]).alias("__t"))
     both = chunked(asked.unionByName(one, allowMissingColumns=True), tolerance_ns, tolerance_ns, chunk_ns=max(chunk_ns, tolerance_ns))
-    w = chunk_window(keys)
-    before = F.last("__r", ignorenulls=True).over(w.rangeBetween(-tolerance_ns, 0))
-    after = F.first("__r", ignorenulls=True).over(w.rangeBetween(1, tolerance_ns))
+    before = F.last("__r", ignorenulls=True).over(upto(chunk_window(keys), 0))
+    after = F.last("__r", ignorenulls=True).over(upto(backward_window(keys), -1))
+    t = F.col("monotonic_ns")
+    before, after = F.when(before["near_ns"] >= t - tolerance_ns, before), F.when(after["near_ns"] <= t + tolerance_ns, after)
     out = at_home(both.withColumns({"__before": before, "__after": after})).where("__t is not null")
     later = F.col("__after").isNotNull() & (F.col("__before").isNull() | (F.col("__after.near_ns") - F.col("monotonic_ns") < F.col("monotonic_ns") - F.col("__before.near_ns")))
     return out.withColumn("__n", F.when(later, F.col("__after")).otherwise(F.col("__before"))).select("__t.*", "__n.*")
