@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import history, labels, stats
+from tidemark.operators import history, labels, signals, stats
 from tidemark.plans import registry
 from tidemark.session import release
 
@@ -80,6 +80,32 @@ def test_autocorrelation_takes_the_last_captured_row_of_an_instant(spark):
     assert (got.n, got.acf) == (2, pytest.approx(-1.0))
 
 
+@pytest.mark.parametrize("force_close", [False, True])
+def test_shadow_positions_on_a_dense_series(spark, force_close):
+    """Against a scan of the rows, without a gap in the series and with rows of one instant; no Python group holds a series."""
+    rule = signals.Rule("r", {"f": 0.6}, "first")
+    rows = [("S", "A", i, (i // 3) * 100, float(100 + (i * 37) % 23), 1.0 + i, True, ((i * 13) % 11 - 5) / 5.0) for i in range(120)]
+    df = spark.createDataFrame(rows, "capture_session_id string, symbol string, capture_seq bigint, monotonic_ns bigint, mid_price double, spread_bps double, feature_valid boolean, f double")
+    want, i = [], 0
+    while i < len(rows):
+        if abs(rows[i][7]) < 0.6:
+            i += 1
+            continue
+        e = next((k for k in range(i + 1, len(rows)) if rows[k][3] >= rows[i][3] + 250), None)
+        if e is None and not force_close:
+            break
+        x = len(rows) - 1 if e is None else e
+        path = [r[4] for r in rows[i : x + 1]]
+        want.append(("LONG" if rows[i][7] > 0 else "SHORT", rows[i][3], rows[x][3], rows[i][4], rows[x][4], rows[i][5], rows[x][5], max(path), min(path), "TIME_STOP" if e is not None else "END_OF_DATA"))
+        if e is None:
+            break
+        i = e
+    made = signals.shadow_positions(df, rule, 250, force_close=force_close)
+    names = ["side", "entry_ns", "exit_ns", "entry_mid", "exit_mid", "entry_spread_bps", "exit_spread_bps", "path_max", "path_min", "exit_reason"]
+    assert sorted(map(tuple, made.select(*names).collect()), key=lambda r: r[5]) == want
+    assert "island" not in plan(made)
+
+
 @pytest.fixture(autouse=True, scope="module")
 def released(spark):
     yield
