@@ -22,7 +22,7 @@ def sampled_clock(send_ms: Column, receive_ms: Column, server_ms: Column, send_n
 
 
 def rates(samples: DataFrame, counters: list[str], keys: list[str] = KEYS, ns: str = "monotonic_ns") -> DataFrame:
-    """``samples`` with ``<counter>_rate``: the counter's growth since the sample before, by seconds; NULL at the first."""
+    """``samples`` with ``<counter>_rate``: the counter's growth since the sample before, by seconds; NULL at the first and where the clock hasn't advanced."""
     prev = with_previous(samples, [ns, *counters], keys)
     seconds = (F.col(ns) - F.col(f"prev_{ns}")) / F.lit(1e9)
     return prev.withColumns({f"{c}_rate": F.when(seconds > 0, (F.col(c) - F.col(f"prev_{c}")) / seconds) for c in counters}).drop(f"prev_{ns}", *[f"prev_{c}" for c in counters])

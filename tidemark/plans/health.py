@@ -54,7 +54,7 @@ def soak_gates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"wire_payloads": wire_payloads, "soak_gates": soak_gates}
-_near = " ".join(f"LEFT JOIN LATERAL (SELECT arg_min(rss, (abs(s.monotonic_ns - e.end_ns + {n * 30 * SECOND}), s.monotonic_ns)) AS rss_{n} FROM s WHERE s.symbol = e.symbol AND abs(s.monotonic_ns - e.end_ns + {n * 30 * SECOND}) <= 1000000000) n{n} ON true" for n in (0, 1, 2))
+_near = " ".join(f"LEFT JOIN LATERAL (SELECT arg_min(rss, (abs(s.monotonic_ns - e.end_ns + {n * 30 * SECOND}), s.monotonic_ns, s.capture_seq)) AS rss_{n} FROM s WHERE s.symbol = e.symbol AND abs(s.monotonic_ns - e.end_ns + {n * 30 * SECOND}) <= 1000000000) n{n} ON true" for n in (0, 1, 2))
 SQL = {
     "wire_payloads": f"""{with_(OBS)}, w AS (SELECT *, CASE event_type WHEN 'click' THEN 'aggTrade' WHEN 'view' THEN 'trade' WHEN 'purchase' THEN 'bookTicker' ELSE 'depthUpdate' END AS kind FROM obs WHERE event_type <> 'error')
         SELECT capture_seq, kind, symbol, capture_seq * 1000 AS event_ms, CASE WHEN kind IN ('aggTrade', 'trade') THEN CAST(price AS DOUBLE) END AS price, CASE WHEN kind IN ('aggTrade', 'trade') THEN CAST(qty AS DOUBLE) END AS quantity,
@@ -63,7 +63,7 @@ SQL = {
         CASE WHEN kind = 'depthUpdate' THEN CAST(2 AS INT) END AS bid_levels, CASE WHEN kind = 'depthUpdate' THEN CAST(price AS DOUBLE) END AS first_bid, CASE WHEN kind = 'depthUpdate' THEN CAST(0 AS INT) END AS ask_levels FROM w WHERE NOT (kind = 'trade' AND (k % 10 = 0 OR qty <= 0))""",
     "soak_gates": f"""{with_(OBS)}, s AS MATERIALIZED (SELECT *, monotonic_ns / 1e9 AS t, CAST(qty AS DOUBLE) AS rss FROM obs WHERE event_type = 'signup'), e AS (SELECT capture_session_id, symbol, max(monotonic_ns) AS end_ns, max(t) AS last_t FROM s GROUP BY ALL),
         sl AS (SELECT symbol, CASE WHEN count(*) FILTER (s.t >= e.last_t - 100) >= 3 THEN regr_slope(rss, t) FILTER (s.t >= e.last_t - 100) END AS slope_late, CASE WHEN count(*) FILTER (s.t >= e.last_t - 50) >= 3 THEN regr_slope(rss, t) FILTER (s.t >= e.last_t - 50) END AS slope_final FROM s JOIN e USING (symbol) GROUP BY symbol),
-        rt AS (SELECT symbol, max(rate) AS worst_rate FROM (SELECT symbol, (capture_seq - lag(capture_seq) OVER w) / ((monotonic_ns - lag(monotonic_ns) OVER w) / 1e9) AS rate FROM s WINDOW w AS (PARTITION BY symbol ORDER BY capture_seq)) GROUP BY symbol),
+        rt AS (SELECT symbol, max(rate) AS worst_rate FROM (SELECT symbol, CASE WHEN monotonic_ns > lag(monotonic_ns) OVER w THEN (capture_seq - lag(capture_seq) OVER w) / ((monotonic_ns - lag(monotonic_ns) OVER w) / 1e9) END AS rate FROM s WINDOW w AS (PARTITION BY symbol ORDER BY capture_seq)) GROUP BY symbol),
         j AS (SELECT *, rss_0 - rss_1 AS last_delta, rss_1 - rss_2 AS delta_before FROM e {_near} JOIN sl USING (symbol) JOIN rt USING (symbol)),
         g AS (SELECT *, concat_ws(',', CASE WHEN coalesce(worst_rate > 200000, true) THEN 'rate' END, CASE WHEN last_t < 8000 THEN 'short' END) AS failures, concat_ws(',', CASE WHEN coalesce(last_delta > 20 AND last_delta > delta_before, true) THEN 'acceleration' END, CASE WHEN coalesce(slope_final > 0, true) THEN 'final_slope' END, CASE WHEN coalesce(slope_late > 0, true) THEN 'late_slope' END) AS warnings FROM j)
         SELECT capture_session_id, symbol, {r('slope_late', 'slope_late', 6)}, {r('slope_final', 'slope_final', 6)}, {r('last_delta', 'last_delta', 6)}, {r('worst_rate', 'worst_rate', 6)}, failures, warnings, CASE WHEN failures <> '' THEN 'FAIL' WHEN warnings <> '' THEN 'WARNING' ELSE 'PASS' END AS decision FROM g""",
