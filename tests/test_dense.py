@@ -47,6 +47,19 @@ def test_join_of_features_and_labels_keeps_rows_of_one_instant_apart(spark, tmp_
     assert got.count() == con.execute("SELECT count(*) FROM events WHERE event_type <> 'error'").fetchone()[0]
 
 
+@pytest.mark.parametrize("name", ["soak_gates", "feature_label_join", "forward_labels"])
+def test_rows_of_one_instant_leave_nothing_to_chance(spark, tmp_path, name):
+    """Query and SQL agree on events that come in threes an instant, with different values, numbered in the order of time."""
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT event_id * 3 + i AS event_id, ts, user_id, event_type, value + (i * 7 + event_id) % 5 AS value, props FROM '{SMALL}/events.parquet', range(3) r(i)) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    registry.QUERIES[name](spark, str(tmp_path)).write.parquet(f"{tmp_path}/got")
+    con.execute(f"CREATE TABLE want AS {registry.ORACLE_SQL[name]}")
+    names = ", ".join(r[0] for r in con.execute("DESCRIBE want").fetchall())
+    for a, b in ((f"'{tmp_path}/got/*.parquet'", "want"), ("want", f"'{tmp_path}/got/*.parquet'")):
+        assert con.execute(f"SELECT {names} FROM {a} EXCEPT ALL SELECT {names} FROM {b}").fetchall() == []
+
+
 def test_the_target_is_the_first_captured_row_of_its_instant(spark):
     rows = [("S", "A", 1, 0, 100.0, True), ("S", "A", 4, 10**9, 130.0, True), ("S", "A", 2, 10**9, 110.0, True), ("S", "A", 3, 10**9, 120.0, True)]
     df = spark.createDataFrame(rows, ROWS)
