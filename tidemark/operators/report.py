@@ -30,7 +30,7 @@ def _finding(df: DataFrame, keys: list[str], part: str | Column, item: Column |
 def _long(rows: DataFrame, keys: list[str], features: list[str], horizons: list[str]) -> DataFrame:
     x = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])).alias("f")
     y = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"future_return_{h}").cast("double").alias("y")) for h in horizons])).alias("h")
-    own = [*keys, "segment", "capture_seq", "monotonic_ns", "regime"]
+    own = [c for c in (*keys, "segment", "capture_seq", "monotonic_ns", "regime") if c in rows.columns]
     return rows.select(*own, x, *[f"future_return_{h}" for h in horizons]).select(*own, "f.*", y).select(*own, "feature", "x", "h.*")
 
 
@@ -62,9 +62,11 @@ def segment_details(rows: DataFrame, features: list[str], horizons: dict[str, in
     valid = stats.volatility_regimes(every.where("feature_valid"), segment, volatility)
     valid = shared_table(valid, "report-valid")
     long = shared_table(_long(valid, keys, features, list(horizons)), "report-long")
-    spaced = reduce(DataFrame.unionByName, [_long(non_overlapping(valid, ns, segment), keys, features, [h]) for h, ns in horizons.items()])
+    # what follows reads these more than once; a spaced row takes along only what its pairs need
+    few = lambda h, ns: non_overlapping(valid.select(*segment, "capture_seq", "monotonic_ns", *features, f"future_return_{h}"), ns, segment)
+    spaced = shared_table(reduce(DataFrame.unionByName, [_long(few(h, ns), keys, features, [h]) for h, ns in horizons.items()]), "report-spaced")
     effective = _effective(spaced, group)
-    bins = stats.quantile_bins(long, group, "capture_seq")
+    bins = shared_table(stats.quantile_bins(long, group, "capture_seq"), "report-bins")
     signal_rows = long.where(F.col("horizon") == next(iter(horizons))).drop("horizon")
     return_rows = long.where(F.col("feature") == features[0]).drop("feature")
     acf = stats.autocorrelation(signal_rows, [*segment, "feature"], LAGS_MS, bridge_nulls=False)
@@ -73,8 +75,9 @@ def segment_details(rows: DataFrame, features: list[str], horizons: dict[str, in
     cuts = valid.where("regime in ('LOW', 'MEDIUM')").groupBy(*segment, "regime").agg(F.max(volatility).alias("cut"), F.count(F.lit(1)).alias("n"))
     signed = F.when(F.col("x") >= 0.6, F.col("y")).when(F.col("x") <= -0.6, -F.col("y")) * 10_000
     edges = stats.complete(long).where(F.col("feature").isin(directional)).groupBy(*group).agg(F.avg(signed).alias("edge_bps"), F.count(signed).alias("n"))
-    fired = signals.all_signals(valid, signals.RULES).select(*keys, "capture_seq", "strategy", "side")
-    moved = long.where(F.col("feature") == features[0]).select(*segment, "horizon", "capture_seq", "y").join(fired, [*keys, "capture_seq"])
+    fired = signals.all_signals(valid, signals.RULES, ("segment", *[f"future_return_{h}" for h in horizons]))
+    after = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"future_return_{h}").cast("double").alias("y")) for h in horizons])).alias("h")
+    moved = fired.select(*segment, "strategy", "side", after).select(*segment, "strategy", "side", "h.*")
     moved = moved.groupBy(*segment, "horizon", "strategy").agg(F.avg(F.when(F.col("side") == "LONG", F.col("y")).otherwise(-F.col("y")) * 10_000).alias("edge_bps"), F.count("y").alias("n"))
     priced = lambda df: stats.cost_sensitivity(df, costs=costs)
     cost = F.col("cost_bps").cast("string")
@@ -97,9 +100,9 @@ def _comparison(every: DataFrame, valid: DataFrame, keys: list[str], volatility:
     segment = [*keys, "segment"]
     measured = [every.select(*segment, F.lit("spread_bps").alias("of"), F.col("spread_bps").cast("double").alias("v")), valid.select(*segment, F.lit(volatility).alias("of"), F.col(volatility).cast("double").alias("v"))]
     placed = ranked(reduce(DataFrame.unionByName, measured).where("v is not null"), ["v"], [*segment, "of"])
-    medians = placed.groupBy(*segment, "of").agg(F.max("n").alias("n"), stats.middle(placed, "v").alias("median"), stats.low_quantile(placed, 0.95, "v").alias("p95"))
+    medians = shared_table(placed.groupBy(*segment, "of").agg(F.max("n").alias("n"), stats.middle(placed, "v").alias("median"), stats.low_quantile(placed, 0.95, "v").alias("p95")), "report-medians")
     prev = with_previous(every.select(*segment, "capture_seq", "mid_price", "feature_valid"), ["mid_price"], segment)
-    counts = prev.groupBy(*segment).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("feature_valid").cast("int")).alias("valid"), (F.count_if(F.col("mid_price") == F.col("prev_mid_price")) / F.greatest(F.lit(1), F.count(F.lit(1)) - 1)).alias("unchanged"))
+    counts = shared_table(prev.groupBy(*segment).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("feature_valid").cast("int")).alias("valid"), (F.count_if(F.col("mid_price") == F.col("prev_mid_price")) / F.greatest(F.lit(1), F.count(F.lit(1)) - 1)).alias("unchanged")), "report-counts")
     return reduce(
         DataFrame.unionByName,
         [

@@ -17,11 +17,13 @@ _HORIZONS = {"500ms": SECOND // 2, "1s": SECOND}
 def segment_report_details(spark: SparkSession, d: str) -> DataFrame:
     """Per symbol and day: effective counts, bins, autocorrelations, regimes, costs, signal rules and a comparison."""
     obs = projections.observations(spark, d)
-    rows = history.realized_volatility(history.backward_returns(projections.mids(obs), {"1s": SECOND}), {"5s": 5 * SECOND})
+    mids = projections.mids(obs)
+    # the flow comes first and is carried along: joined to the labels, it would have both sides' windows run again
+    rows = history.trade_flow(mids, projections.trades(obs), {"1s": SECOND}).select(*mids.columns, F.col("imbalance_1s").alias("trade_imbalance_1s"))
+    rows = history.realized_volatility(history.backward_returns(rows, {"1s": SECOND}), {"5s": 5 * SECOND})
     rows = labels.forward_labels(rows, projections.boundaries(obs), _HORIZONS, ())
-    flow = history.trade_flow(rows.select(*projections.KEYS, "capture_seq", "monotonic_ns"), projections.trades(obs), {"1s": SECOND}).select(*projections.KEYS, "capture_seq", F.col("imbalance_1s").alias("trade_imbalance_1s"))
     x = F.col("x")
-    rows = rows.join(flow, [*projections.KEYS, "capture_seq"]).withColumns({
+    rows = rows.withColumns({
         "segment": F.date_format("ts", "yyyy-MM-dd"), "realized_volatility_5s": F.round("realized_volatility_5s", 9), "mid_price": F.col("price"), "spread_bps": F.lit(1.0) + F.col("k") / 100,
         "microprice_offset_bps": x / F.lit(10.0), "imbalance_l1": x, "imbalance_l5": x,
     })
