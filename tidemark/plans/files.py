@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import own_folder
+from tidemark.session import own_folder, shared_table
 from tidemark.sources import catalog, projections, verify
 
 from .oracle import OBS, with_
@@ -51,8 +51,10 @@ def compaction_equivalence(spark: SparkSession, d: str) -> DataFrame:
     folder = f"{own_folder(spark)}/compaction-{uuid.uuid4().hex}"
     rows = obs.select("capture_session_id", "symbol", "event_type", "capture_seq", "local_time", "qty", "cut", F.col("symbol").alias("of"))
     rows.repartition("of", "cut").sortWithinPartitions("of", "cut", "capture_seq").write.partitionBy("of", "cut").parquet(f"{folder}/in")
-    files = catalog.manifests(spark.read.parquet(f"{folder}/in"), "event")
-    made = catalog.compact_bins(spark, f"{folder}/in", catalog.compaction_bins(files, max_files=3), f"{folder}/out")
+    # the folder is listed once, and each of its files is opened once for its manifest
+    table = spark.read.schema(rows.schema).parquet(f"{folder}/in")
+    files = shared_table(catalog.manifests(table, "event"), "manifests")
+    made = catalog.compact_bins(spark, table, catalog.compaction_bins(files, max_files=3), f"{folder}/out")
     per_file = made.withColumn("f", F.col("_metadata.file_path")).groupBy("symbol", F.col("of_bin").cast("bigint").alias("bin"))
     return per_file.agg(F.countDistinct("f").alias("files"), F.count(F.lit(1)).alias("rows"), F.min("capture_seq").alias("first_seq"), F.max("capture_seq").alias("last_seq"))
 

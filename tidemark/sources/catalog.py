@@ -149,15 +149,15 @@ def compact(spark: SparkSession, source: str, destination: str, keys: list[str],
     return parts
 
 
-def compact_bins(spark: SparkSession, source: str, bins: DataFrame, destination: str, order: str = "capture_seq") -> DataFrame:
-    """Rewrite the files of ``source`` as one sorted file for each session, symbol, type and ``bin`` of ``bins`` (see `compaction_bins`)
-    in a new folder, compare contents, and return the new table (its partitions: session, symbol, type, bin)."""
-    table = spark.read.parquet(source)
+def compact_bins(spark: SparkSession, source: str | DataFrame, bins: DataFrame, destination: str, order: str = "capture_seq") -> DataFrame:
+    """Rewrite the files of ``source`` (a folder, or the table read from it) as one sorted file for each session, symbol, type and ``bin`` of ``bins``
+    (see `compaction_bins`) in a new folder, compare contents, and return the new table (its partitions: session, symbol, type, bin)."""
+    table = spark.read.parquet(source) if isinstance(source, str) else source
     own = ["capture_session_id", "symbol", "event_type", "bin"]
     placed = table.withColumn("__f", F.col("_metadata.file_path")).join(bins.select(F.col("file_path").alias("__f"), *[F.col(c).alias(f"of_{c}") for c in own]), "__f").drop("__f")
     parts = [f"of_{c}" for c in own]
     placed.repartition(*parts).sortWithinPartitions(*parts, order).write.partitionBy(*parts).mode("errorifexists").parquet(destination)
-    made = spark.read.parquet(destination)
+    made = spark.read.schema(placed.schema).parquet(destination)
     if not content_equal(table, made.select(*table.columns)):
         raise IntegrityError("compaction changed the content")
     return made
