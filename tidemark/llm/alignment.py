@@ -24,11 +24,11 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
-from itertools import chain, islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +40,13 @@ from .common import Scratch, arrow_map, quoted, read_table, slices, without
 from .vocab import byte_alphabet
 
 #: UTF-8 bytes of text whose tokens a task holds at a time.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 DUCKDB_MEMORY = "200MB"
 #: Distinct chunks aligned at a time, and how many a worker keeps before it starts anew.
-ALIGN_CHUNKS = 20_000
-KNOWN_CHUNKS = 100_000
+ALIGN_CHUNKS = 10_000
+KNOWN_CHUNKS = 60_000
+#: Links of texts whose counts a task looks up at a time.
+SLICE_LINKS = 1 << 17
 #: Fixed value: how a byte-level vocabulary cuts texts into pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Below it no character was assigned after Unicode 7.
@@ -168,7 +170,8 @@ class Known:
     def __init__(self, own: Tokenizers):
         self.own = own
         own.db.execute("CREATE OR REPLACE TEMP TABLE links (chunk BIGINT, code BIGINT)")
-        self.places: dict[str, int] = {"": 0}
+        # a chunk asked for the first time gets the next place
+        self.places: defaultdict[str, int] = defaultdict(count(1).__next__, {"": 0})
         self.all = align_chunks([""], own)
 
     def learn(self, chunks: list[str]) -> None:
@@ -181,6 +184,12 @@ class Known:
             self.own.db.execute("INSERT INTO links SELECT chunk, code FROM new_links")
             self.all = self.all.plus(new)
 
+    def forget(self) -> None:
+        """Free what is known: a worker lives on after its task."""
+        self.own.db.execute("CREATE OR REPLACE TEMP TABLE links (chunk BIGINT, code BIGINT)")
+        self.places.clear()
+        del self.all
+
     def pairs(self, weight: np.ndarray) -> pa.Table:
         """(code, n): how many links each pair has if chunk c occurs ``weight[c]`` times."""
         some = np.flatnonzero(weight)
@@ -264,7 +273,7 @@ def align_texts(texts: list[str | None], known: Known) -> Texts:
     for t in texts:
         parts = known.own.chunks(t) if t else []
         counts.append(len(parts))
-        order += [places.setdefault(p, len(places)) for p in parts]
+        order += map(places.__getitem__, parts)
     known.learn(list(islice(places, before, None)))
     at, numbers = _ends(counts), np.array(order, np.int64)
     bad = _ends(~known.all.good[numbers])
@@ -281,6 +290,9 @@ def _aligned_slices(batches, a_path: str, b_path: str):
             if len(known.places) > KNOWN_CHUNKS:
                 known = Known(own)
             yield rows, known, align_texts(array[rows.start : rows.stop].to_pylist(), known)
+            # Arrow's allocator otherwise keeps the largest slice's buffers for as long as the worker lives
+            pa.default_memory_pool().release_unused()
+    known.forget()
 
 
 def align(df: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
@@ -302,8 +314,10 @@ _SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_overlaps"]
 
 def _linked(df: DataFrame, keep: list[str], a_path: str, b_path: str, text: str) -> DataFrame:
     """``keep``, counts, digest and links (as codes) of each row; pair counts of a slice stand with its first row."""
-    longs = T.ArrayType(T.LongType())
-    fields = [T.StructField(n, T.LongType()) for n in _SUMS] + [T.StructField("groups_sha256", T.StringType()), *[T.StructField(n, longs) for n in ("links", "pairs", "pair_counts")]]
+    longs, own = T.ArrayType(T.LongType()), tokenizers(a_path, b_path)
+    # the second pass reads a row's links whole: half the bytes where codes allow it
+    links = T.ArrayType(T.IntegerType()) if len(own.a_bytes) * len(own.b_bytes) < 1 << 31 else longs
+    fields = [T.StructField(n, T.LongType()) for n in _SUMS] + [T.StructField("groups_sha256", T.StringType()), T.StructField("links", links), *[T.StructField(n, longs) for n in ("pairs", "pair_counts")]]
 
     def run(batches):
         for rows, known, t in _aligned_slices(batches, a_path, b_path):
@@ -323,14 +337,17 @@ def _linked(df: DataFrame, keep: list[str], a_path: str, b_path: str, text: str)
 def _ranked(batches, counts):
     """(best links, sum of counts) of each row's links, by the corpus-wide ``counts`` (codes, counts, is best)."""
     codes, totals, best = counts.value
+    tokenizers.cache_clear()
     for (array,) in batches:
-        at = np.asarray(array.offsets, np.int64)
-        found = np.searchsorted(codes, np.asarray(array.values, np.int64)[at[0] : at[-1]])
-        out = []
-        for values in (best, totals):
-            ends = _ends(values[found])
-            out.append(pa.array(ends[at[1:] - at[0]] - ends[at[:-1] - at[0]]))
-        yield slice(0, len(array)), out
+        offsets, links = np.asarray(array.offsets, np.int64), np.asarray(array.values)
+        for rows in slices(np.diff(offsets).tolist(), SLICE_LINKS):
+            at = offsets[rows.start : rows.stop + 1]
+            found = np.searchsorted(codes, links[at[0] : at[-1]].astype(np.int64))
+            out = []
+            for values in (best, totals):
+                ends = _ends(values[found])
+                out.append(pa.array(ends[at[1:] - at[0]] - ends[at[:-1] - at[0]]))
+            yield rows, out
 
 
 def link_counts(df: DataFrame, a_path: str, b_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
