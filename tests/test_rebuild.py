@@ -116,6 +116,29 @@ def test_equal_to_the_sequential_state(spark, seed, chunk_rows):
     assert sorted((r.symbol, r.capture_seq, r.reason) for r in made.faults.collect()) == faults
 
 
+def test_compared_books_are_rebuilt_once(spark, monkeypatch):
+    from tidemark.plans import books
+
+    calls, once = [], rebuild.rebuild
+    monkeypatch.setattr(rebuild, "rebuild", lambda *a, **k: calls.append(a) or once(*a, **k))
+    got = books.reconstruct_compare(spark, "/root/testdata/sf0.001").collect()
+    assert len(calls) == 1 and got
+
+
+def test_recorded_levels_do_not_move_the_rebuilt_books(spark):
+    """Books recorded from the rebuilt ones, some altered, compared without and with a second rebuild."""
+    events = spark.createDataFrame(stream(random.Random(5), 700), SCHEMA)
+    made = rebuild.rebuild(events, 16).books.localCheckpoint()
+    known = made.where("reason is null").select("symbol", "capture_seq", "made_id", F.col("made_bids").alias("b"), F.col("made_asks").alias("a"))
+    odd = F.col("capture_seq") % 3 == 0
+    altered = F.transform("b", lambda x: F.struct(x["price"].alias("price"), F.when(odd, x["quantity"] + 1).otherwise(x["quantity"]).cast("decimal(18,8)").alias("quantity")))
+    rows = events.join(known, ["symbol", "capture_seq"], "left").withColumns({"bids": F.coalesce(altered, "bids"), "asks": F.coalesce("a", "asks"), "final_id": F.coalesce(F.col("made_id") - F.when(F.col("capture_seq") % 5 == 0, 1).otherwise(0), "final_id")})
+    rows = rows.select(*events.columns).localCheckpoint()
+    got = sorted(tuple(r) for r in book.compare(rows, made).collect())
+    assert got == sorted(tuple(r) for r in book.reconstruct(rows, 16).collect())
+    assert {r[3] for r in got} == {True, False}
+
+
 def test_one_generation_is_many_tasks(spark):
     bids, asks = ([(D(base + sign * i), D(1)) for i in range(40)] for base, sign in ((99, -1), (100, 1)))
     rows = [("S", "A", 0, "bootstrap", None, 0, None, bids, asks, 1000, [])]

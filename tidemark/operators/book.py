@@ -144,20 +144,27 @@ def _derived(bids: Column, asks: Column) -> dict[str, Column]:
     return dict(zip(_BOOK_FIELDS, made, strict=True))
 
 
-def reconstruct(events: DataFrame, chunk_rows: int = rebuild.CHUNK_ROWS) -> DataFrame:
-    """Rebuild books from a tagged event stream (see `rebuild.rebuild`) and compare them with the recorded ones.
+def compare(recorded: DataFrame, made: DataFrame) -> DataFrame:
+    """Recorded books (rows of kind ``trusted``, others are left out) against rebuilt ones (``books`` of `rebuild.rebuild`).
 
     Recorded rows may also have any of best_bid_price, best_bid_quantity, best_ask_price, best_ask_quantity, mid_price,
     spread, spread_bps.  One row per recorded book: capture_seq, ok, error (the fields that differ, or why there is no
-    book), gaps so far in the series.  A stream with faults of its own is reported by `reconstruction_faults`.
+    book), gaps so far in the series.
     """
-    made = rebuild.rebuild(events, chunk_rows).books
-    recorded = events.where("kind = 'trusted'").join(made, [*KEYS, "capture_seq"])
+    both = recorded.where("kind = 'trusted'").join(made, [*KEYS, "capture_seq"])
     differs = {"last_update_id": ("made_id", "final_id"), "bids": ("made_bids", "bids"), "asks": ("made_asks", "asks")}
     tests = [F.when(~F.col(a).eqNullSafe(F.col(b)), F.lit(name)) for name, (a, b) in differs.items()]
-    tests += [F.when(~v.cast("double").eqNullSafe(F.col(n).cast("double")), F.lit(n)) for n, v in _derived(F.col("made_bids"), F.col("made_asks")).items() if n in events.columns]
+    tests += [F.when(~v.cast("double").eqNullSafe(F.col(n).cast("double")), F.lit(n)) for n, v in _derived(F.col("made_bids"), F.col("made_asks")).items() if n in recorded.columns]
     error = F.coalesce("reason", F.nullif(F.array_join(F.array_compact(F.array(*tests)), ", "), F.lit("")))
-    return recorded.select(*KEYS, "capture_seq", error.alias("error"), "gaps").select(*KEYS, "capture_seq", F.col("error").isNull().alias("ok"), "error", "gaps")
+    return both.select(*KEYS, "capture_seq", error.alias("error"), "gaps").select(*KEYS, "capture_seq", F.col("error").isNull().alias("ok"), "error", "gaps")
+
+
+def reconstruct(events: DataFrame, chunk_rows: int = rebuild.CHUNK_ROWS) -> DataFrame:
+    """Rebuild books from a tagged event stream (see `rebuild.rebuild`) and `compare` them with the recorded ones.
+
+    A stream with faults of its own is reported by `reconstruction_faults`.
+    """
+    return compare(events, rebuild.rebuild(events, chunk_rows).books)
 
 
 def reconstruction_faults(events: DataFrame, chunk_rows: int = rebuild.CHUNK_ROWS) -> DataFrame:

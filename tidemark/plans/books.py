@@ -60,9 +60,10 @@ def reconstruct_compare(spark: SparkSession, d: str) -> DataFrame:
     off = lambda n: F.when(F.col("capture_seq") % n == 0, 1).otherwise(0)
     bids = F.transform("made_bids", lambda x, i: _level(x["price"], x["quantity"] + F.when(i == 0, off(7)).otherwise(0)))
     recorded = made.where("reason is null").select(*KEYS, "capture_seq", bids.cast(_LEVELS).alias("r_bids"), "made_asks", (F.col("made_id") - off(11)).alias("r_id"), (F.get("made_bids", F.lit(0))["quantity"] + off(13)).alias("best_bid_quantity"))
-    rows = stream.join(recorded, [*KEYS, "capture_seq"], "left")
+    rows = stream.where("kind = 'trusted'").join(recorded, [*KEYS, "capture_seq"], "left")
     rows = rows.withColumns({"bids": F.coalesce("r_bids", "bids"), "asks": F.coalesce("made_asks", "asks"), "final_id": F.coalesce("r_id", "final_id")})
-    return book.reconstruct(rows.drop("r_bids", "made_asks", "r_id"))
+    # what recorded books hold never moves the rebuilt ones, only how many levels are asked for, and here none are that the book doesn't have
+    return book.compare(rows.drop("r_bids", "made_asks", "r_id"), made)
 
 
 def reconstruction_faults(spark: SparkSession, d: str) -> DataFrame:
