@@ -40,8 +40,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import Scratch, arrow_map, quoted, read_table, without
+from .common import Scratch, quoted, read_table, without
 from .textnum import Words, mix64, word_chunks
 
 DEPTH = 3
@@ -61,7 +62,10 @@ END = np.uint64(0x656E642D6F662D74)
 #: Keys gathered in a task before they are reduced to distinct ones.
 GATHER = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_PAIRS = "x long, s long, c long"
+_UNSTEP = np.uint64(pow(int(_STEP), -1, 1 << 64))
+#: Bits of a frequent word's place in an n-gram's number; tokens for each task that sums n-grams.
+HEAD_BITS = 18
+TASK_TOKENS = 1 << 21
 
 
 class HashIndex:
@@ -173,62 +177,156 @@ def _reduced(keys: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarra
     return [k[first] for k in keys], np.add.reduceat(counts[order], heads)
 
 
-def _summed(arrays: Iterator[list[np.ndarray]], names: list[str], width: int) -> Iterator[pa.RecordBatch]:
-    """Batches of the first columns of a task's keys (see `_reduced`) with their counts, reduced about every ``GATHER`` keys."""
-    none = [np.zeros(0, np.uint64)] * width
-    keys, counts, fresh, held = none, np.zeros(0, np.int64), [], 0
+class _Counter:
+    """Keys (arrays; the last one identifies a row) with their counts, reduced about every ``GATHER`` rows."""
 
-    def reduced() -> tuple[list[np.ndarray], np.ndarray]:
-        new, n = _reduced([np.concatenate(x) for x in zip(*fresh, strict=True)], np.ones(held, np.int64)) if fresh else (none, np.zeros(0, np.int64))
-        return _reduced([np.concatenate(x) for x in zip(keys, new, strict=True)], np.concatenate([counts, n]))
+    def __init__(self, width: int):
+        self.width = width
+        self.clear()
 
-    def batches() -> Iterator[pa.RecordBatch]:
-        # rows of one beginning stand together, which makes the shuffle's blocks smaller
-        order = _packed_order(keys[0]) if width > 1 else np.arange(len(counts))
-        for i in range(0, len(counts), 1 << 17):
-            part = order[i : i + (1 << 17)]
-            yield pa.RecordBatch.from_arrays([*[pa.array(k[part].view(np.int64)) for k, _ in zip(keys, names, strict=False)], pa.array(counts[part])], names=[*names, "c"])
+    def clear(self) -> None:
+        self.keys, self.counts, self.fresh, self.held = [np.zeros(0, np.uint64)] * self.width, np.zeros(0, np.int64), [], 0
 
-    for a in arrays:
-        fresh.append(a)
-        held += len(a[0])
-        if held >= GATHER:
-            keys, counts = reduced()
-            fresh, held = [], 0
-            if len(counts) >= 2 * GATHER:
-                yield from batches()
-                keys, counts = none, counts[:0]
-    keys, counts = reduced()
-    yield from batches()
+    def add(self, keys: list[np.ndarray]) -> None:
+        self.fresh.append(keys)
+        self.held += len(keys[0])
+        if self.held >= GATHER:
+            self.reduce()
+
+    def reduce(self) -> None:
+        if self.fresh:
+            new, n = _reduced([np.concatenate(x) for x in zip(*self.fresh, strict=True)], np.ones(self.held, np.int64))
+            self.keys, self.counts = _reduced([np.concatenate(x) for x in zip(self.keys, new, strict=True)], np.concatenate([self.counts, n]))
+            self.fresh, self.held = [], 0
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _summed(([text_tokens(w)[0]] for b in batches for _, w in word_chunks(b.column(0))), ["k"], 1)
+    own = _Counter(1)
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(own.counts), 1 << 17):
+            yield pa.RecordBatch.from_arrays([pa.array(own.keys[0][i : i + (1 << 17)].view(np.int64)), pa.array(own.counts[i : i + (1 << 17)])], names=["k", "c"])
 
+    for b in batches:
+        for _, w in word_chunks(b.column(0)):
+            own.add([text_tokens(w)[0]])
+            if len(own.counts) >= 2 * GATHER:
+                yield from rows()
+                own.clear()
+    own.reduce()
+    yield from rows()
 
-def _count_grams(shared) -> Callable:
-    """Map function that counts the n-grams of the length after the filters' last, by their two parts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [b.value for b in shared]
+class Named:
+    """N-grams of words that are all among the most frequent ones, as numbers: a word is its place in that list, in as
+    many bits as let the n-gram be one number.  Numbers are spread over 64 bits by a multiplication that can be undone."""
+
+    def __init__(self, keys: np.ndarray, length: int):
+        self.keys, self.length = keys, length
+        self.bits = min(HEAD_BITS, 64 // length)
+        self.shift = np.uint64(64 - self.bits * length)
+
+    def of(self, places: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether the n-gram that ends ``at`` is so named, the numbers of those that are); ``places`` of tokens, -1 if not listed."""
+        named, number = np.ones(len(at), dtype=bool), np.zeros(len(at), dtype=np.uint64)
+        for j in range(self.length):
+            p = places[at - j]
+            named &= (p >= 0) & (p < 1 << self.bits)
+            number |= p.astype(np.uint64) << np.uint64(j * self.bits)
+        return named, (number[named] << self.shift) * _STEP
+
+    def parts(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the n-grams' beginnings and endings."""
+        number = (number * _UNSTEP) >> self.shift
+        keys = [self.keys[(number >> np.uint64(j * self.bits)) & np.uint64((1 << self.bits) - 1)] for j in reversed(range(self.length))]
+        while len(keys) > 2:
+            keys = [joined_key(x, y) for x, y in zip(keys, keys[1:], strict=False)]
+        return keys[0], keys[1]
 
-        def keys() -> Iterator[list[np.ndarray]]:
-            for b in batches:
-                for _, w in word_chunks(b.column(0)):
-                    tokens, place, _ = text_tokens(w)
-                    *_, (_, key, beginning, ending) = grams(tokens, place, filters)
-                    yield [beginning, ending, key]
 
-        return _summed(keys(), ["x", "s"], 3)
+def _planes(values: np.ndarray) -> bytes:
+    """The values' bytes, all first ones before all second ones and so on: bytes that are mostly zero stand together, for the shuffle's compression."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unplaned(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def _count_grams(shared, head, parts: int) -> Callable:
+    """Map function that counts the n-grams of the length after the filters' last.
+
+    A row has n-grams whose last key falls in one of ``parts`` ranges, in binary columns (see `_planes`): named ones as
+    differences of their numbers, others by their two parts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters, index = [b.value for b in shared], head.value
+        named = Named(index.keys, len(filters) + 1)
+        short, long = _Counter(1), _Counter(3)
+
+        def rows(own: _Counter) -> Iterator[pa.RecordBatch]:
+            some, cuts = _ranges(own.keys[-1], parts)
+            keys, counts = [], []
+            for i in some:
+                at = slice(cuts[i], cuts[i + 1])
+                if own is short:
+                    keys.append(_planes(np.diff(own.keys[0][at] >> named.shift, prepend=np.uint64(0))))
+                else:
+                    keys.append(_planes(own.keys[0][at]) + _planes(own.keys[1][at]))
+                counts.append(_planes(own.counts[at].astype(np.uint32)))
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([own is short] * len(some), pa.bool_()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], names=["p", "named", "keys", "counts"])
+            own.clear()
+
+        for b in batches:
+            for _, w in word_chunks(b.column(0)):
+                tokens, place, _ = text_tokens(w)
+                *_, (at, key, beginning, ending) = grams(tokens, place, filters)
+                is_named, numbers = named.of(index.find(tokens), at)
+                short.add([numbers])
+                long.add([beginning[~is_named], ending[~is_named], key[~is_named]])
+                for own in (short, long):
+                    if len(own.counts) >= 2 * GATHER:
+                        yield from rows(own)
+        for own in (short, long):
+            own.reduce()
+            yield from rows(own)
 
     return run
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (x, s, c) with the key of the n-gram."""
-    for b in batches:
-        x, s = (b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(joined_key(x, s).view(np.int64)), *b.columns], names=["k", "x", "s", "c"])
+def _sum_grams(head, length: int, min_count: int) -> Callable:
+    """Map function that sums what `_count_grams` made, where all counts of an n-gram have met: (k, x, s, c) of those that are listed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        named = Named(head.value.keys, length)
+        held: dict[bool, list] = {True: [], False: []}
+        for b in batches:
+            for is_named, keys, counts in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                if is_named:
+                    own = [np.cumsum(_unplaned(keys, np.uint64), dtype=np.uint64) << named.shift]
+                else:
+                    own = [_unplaned(x, np.uint64) for x in (keys[: len(keys) // 2], keys[len(keys) // 2 :])]
+                held[is_named].append([*own, _unplaned(counts, np.uint32).astype(np.int64)])
+        for is_named, arrays in held.items():
+            if not arrays:
+                continue
+            *keys, counts = [np.concatenate(x) for x in zip(*arrays, strict=True)]
+            arrays.clear()
+            key = keys[0] if is_named else joined_key(*keys)
+            order = np.argsort(key)
+            own = key[order]
+            heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            total = np.add.reduceat(counts[order], heads)
+            some = total >= min_count
+            first, total = order[heads[some]], total[some]
+            x, s = named.parts(key[first]) if is_named else (k[first] for k in keys)
+            columns = [*(k.view(np.int64) for k in (joined_key(x, s), x, s)), total]
+            for i in range(0, len(total), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 17)]) for c in columns], names=["k", "x", "s", "c"])
+
+    return run
 
 
 def _tested(counted: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -269,10 +367,13 @@ def learn(train: DataFrame, text: str = "text", depth: int = DEPTH, min_count: i
     z = total + ALPHA * (distinct + 1)
     levels = [words.where(F.col("c") >= min_count).withColumn("l", F.log((F.col("c") + F.lit(ALPHA)) / F.lit(z)))]
     filters = []
-    for _ in range(depth):
+    top = words.where(_head(words, min(HEAD_WORDS, 1 << HEAD_BITS))).toArrow()  # 1 << HEAD_BITS rows at most
+    named = spark.sparkContext.broadcast(HashIndex(top.column("k").to_numpy().view(np.uint64)[np.argsort(-top.column("c").to_numpy(), kind="stable")]))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TASK_TOKENS)
+    for length in range(2, depth + 2):
         filters.append(spark.sparkContext.broadcast(Bitmap.of(levels[-1])))
-        counted = texts.mapInArrow(_count_grams(list(filters)), _PAIRS).groupBy("x", "s").agg(F.sum("c").alias("c")).where(F.col("c") >= min_count)
-        counted = scratch.table(counted.mapInArrow(_keyed, f"k long, {_PAIRS}"))
+        counted = texts.mapInArrow(_count_grams(list(filters), named, parts), "p int, named boolean, keys binary, counts binary").repartitionById(parts, "p")
+        counted = scratch.table(counted.mapInArrow(_sum_grams(named, length, min_count), "k long, x long, s long, c long"))
         levels.append(scratch.table(_tested(counted, levels[-1].select("k", "c", "l"))))
         scratch.drop(scratch.made - 2, scratch.made - 1)
     # what an n-gram adds as a context of the next token is part of its weight
@@ -308,15 +409,107 @@ def is_held_out(doc_id: Column, folds: int = 10) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds == 0
 
 
-def _row_keys(keys: np.ndarray, at: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
-    """The distinct ``keys`` of each row that ``bounds`` cuts, by their places ``at``, and how often each occurs."""
-    row = np.searchsorted(bounds, at, side="right") - 1
-    order = np.lexsort((keys, row))
-    keys, row = keys[order], row[order]
-    heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    ends = pa.array(np.searchsorted(row[heads], np.arange(len(bounds))), pa.int32())
-    counts = np.diff(np.append(heads, len(keys)))
-    return [pa.ListArray.from_arrays(ends, pa.array(keys[heads].view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.int32)))]
+def _ranges(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ranges, of ``parts``, that have some of the sorted ``keys``; where all ranges begin and end)."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    cuts = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+    return np.flatnonzero(cuts[1:] > cuts[:-1]), cuts
+
+
+#: Keys asked by rows (``first``: the lowest row; rows and times: see `_Asked`), or tables of keys (``first`` is null, ``rows`` their values).
+_PACKED = "p int, kind int, first long, keys binary, rows binary, times binary"
+
+
+class _Asked:
+    """Keys that the rows of a task ask for, about ``2 * GATHER`` at a time, packed by ranges of keys."""
+
+    def __init__(self, kind: int, parts: int):
+        self.kind, self.parts, self.keys, self.rows, self.held = kind, parts, [], [], 0
+
+    def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.rows.append(rows)
+        self.held += len(keys)
+
+    def packed(self) -> list[tuple]:
+        if not self.held:
+            return []
+        keys, rows = np.concatenate(self.keys), np.concatenate(self.rows)
+        self.keys, self.rows, self.held = [], [], 0
+        order = _packed_order(keys)
+        keys, rows = keys[order], rows[order]
+        heads = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])))
+        times = np.diff(np.append(heads, len(keys))).astype(np.uint32)
+        keys, rows, first = keys[heads], rows[heads], int(rows.min())
+        some, cuts = _ranges(keys, self.parts)
+        out = []
+        for i in some:
+            at = slice(cuts[i], cuts[i + 1])
+            out.append((int(i), self.kind, first, _planes(np.diff(keys[at], prepend=np.uint64(0))), _planes((rows[at] - first).astype(np.uint32)), _planes(times[at])))
+        return out
+
+
+def _packed_table(table: DataFrame, kind: int, parts: int) -> DataFrame:
+    """Rows (k, doubles) of a table, packed by ranges of keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            k = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            order = np.argsort(k)
+            k, values = k[order], [b.column(i).to_numpy(zero_copy_only=False)[order] for i in range(1, b.num_columns)]
+            some, cuts = _ranges(k, parts)
+            ats = [slice(cuts[i], cuts[i + 1]) for i in some]
+            keys, packed = [k[at].tobytes() for at in ats], [b"".join(v[at].tobytes() for v in values) for at in ats]
+            yield _packed_batch([(int(i), kind, None, x, y, None) for i, x, y in zip(some, keys, packed, strict=True)])
+
+    return table.mapInArrow(run, _PACKED)
+
+
+def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["p", "kind", "first", "keys", "rows", "times"])
+
+
+def _answers(z: float) -> Callable:
+    """Map function over asked keys and tables of one range: (row, known, base, more), summed by row as far as they meet here."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, asked = {0: [], 1: []}, []
+        for b in batches:
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if r[2] is None:
+                    keys = np.frombuffer(r[3], np.uint64)
+                    tables[r[1]].append((keys, np.frombuffer(r[4], np.float64).reshape(-1, len(keys))))
+                else:
+                    asked.append(r)
+        found = {}
+        for kind, width in ((0, 2), (1, 1)):
+            own = tables.pop(kind)
+            # the last place is for keys that aren't in the table
+            found[kind] = HashIndex(np.concatenate([k for k, _ in own] or [np.zeros(0, np.uint64)])), np.concatenate([*(v for _, v in own), np.zeros((width, 1))], axis=1)
+        sums = [[], [], [], []]
+        for _, kind, first, keys, rows, times in asked:
+            index, values = found[kind]
+            at, m = index.find(np.cumsum(_unplaned(keys, np.uint64), dtype=np.uint64)), _unplaned(times, np.uint32).astype(np.int64)
+            row, none = _unplaned(rows, np.uint32).astype(np.int64) + first, np.zeros(len(m))
+            if kind == 0:
+                parts = [row, m * (at >= 0), m * np.log((values[0][at] + ALPHA) / z), m * values[1][at]]
+            else:
+                some = at >= 0
+                parts = [row[some], none[some].astype(np.int64), none[some], (m * values[0][at])[some]]
+            for to, x in zip(sums, parts, strict=True):
+                to.append(x)
+        if not asked:
+            return
+        row, known, base, more = (np.concatenate(x) for x in sums)
+        if len(row):
+            order = np.argsort(row, kind="stable")
+            heads = np.flatnonzero(np.append(True, np.diff(row[order]) != 0))
+            columns = [row[order][heads], *(np.add.reduceat(x[order], heads) for x in (known, base, more))]
+            for i in range(0, len(heads), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 17)]) for c in columns], names=["row", "known", "base", "more"])
+
+    return run
 
 
 def lm_scores(df: DataFrame, train: DataFrame, text: str = "text", depth: int = DEPTH, min_count: int = MIN_COUNT, keep: list[str] | None = None) -> DataFrame:
@@ -334,47 +527,63 @@ def lm_scores(df: DataFrame, train: DataFrame, text: str = "text", depth: int =
     shared = spark.sparkContext.broadcast((named, weighed, Bitmap.of(rest)))
     filters = learned.filters
 
-    def run(batches):
+    keep = [c for c in without(df, outputs).columns if keep is None or c in keep]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent = df.select(quoted(text).alias("text"), F.monotonically_increasing_id().alias("row"), *[quoted(c).alias(f"keep{i}") for i, c in enumerate(keep)])
+    figures = {"n": T.LongType(), "known": T.LongType(), "base": T.DoubleType(), "more": T.DoubleType()}
+    packed = T.StructType.fromDDL(_PACKED)
+    schema = T.StructType([T.StructField("row", T.LongType()), *[T.StructField(f"keep{i}", df.schema[c].dataType) for i, c in enumerate(keep)], *[T.StructField(n, t) for n, t in figures.items()], *packed.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text, and rows with what they ask for, whose other columns are null."""
+        arrow = to_arrow_schema(schema)
         (index, root, as_context), (gram_index, gram_weight), others = shared.value
         listed = [b.value for b in filters]
-        for (array,) in batches:
-            for rows, w in word_chunks(array):
+        words, rare_grams = _Asked(0, parts), _Asked(1, parts)
+
+        def texts(kept: list[pa.Array], own: list[pa.Array]) -> pa.RecordBatch:
+            nothing = [pa.nulls(len(own[0]), f.type) for f in list(arrow)[-len(packed) :]]
+            columns = [*kept, *own, *nothing]
+            return pa.RecordBatch.from_arrays([a if a.type == f.type else a.cast(f.type) for a, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+        def asks(own: _Asked) -> Iterator[pa.RecordBatch]:
+            if rows := own.packed():
+                b = _packed_batch(rows)
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(rows), f.type) for f in list(arrow)[: -len(packed)]), *b.columns], schema=arrow)
+
+        for b in batches:
+            for rows, w in word_chunks(b.column(0)):
                 tokens, place, bounds = text_tokens(w)
+                ids = b.column(1).to_numpy(zero_copy_only=False)[rows]
+                row_of = lambda at: ids[np.searchsorted(bounds, at, side="right") - 1]  # noqa: B023, E731
                 found = index.find(tokens)
                 known = found >= 0
                 base, more = np.zeros(len(tokens)), np.zeros(len(tokens))
                 base[known] = root[found[known]]
                 more[known] = as_context[found[known]]
-                asked, where = [], []
                 for at, key, _, _ in grams(tokens, place, listed):
                     got = gram_index.find(key)
                     more[at[got >= 0]] += gram_weight[got[got >= 0]]
                     unsure = (got < 0) & others.may_hold(key)
-                    asked.append(key[unsure])
-                    where.append(at[unsure])
-                none = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                    rare_grams.add(key[unsure], row_of(at[unsure]))
                 rare = np.flatnonzero(~known)
-                yield rows, [
-                    pa.array(np.diff(bounds)),
-                    pa.array(np.add.reduceat(known.astype(np.int64), bounds[:-1])),
-                    pa.array(np.add.reduceat(base, bounds[:-1])),
-                    pa.array(np.add.reduceat(more, bounds[:-1])),
-                    *_row_keys(tokens[rare], rare, bounds),
-                    *_row_keys(np.concatenate(asked or none[0]), np.concatenate(where or none[1]), bounds),
-                ]
-
-    names = {"n": T.LongType(), "known": T.LongType(), "base": T.DoubleType(), "more": T.DoubleType(), "words": T.ArrayType(T.LongType()), "words_m": T.ArrayType(T.IntegerType()), "grams": T.ArrayType(T.LongType()), "grams_m": T.ArrayType(T.IntegerType())}
-    keep = [c for c in without(df, outputs).columns if keep is None or c in keep]
-    scratch = Scratch(spark, "lm-rows")
-    rows = scratch.table(arrow_map(df, [quoted(text)], keep, [T.StructField(f"__tm_{n}", t) for n, t in names.items()], run).withColumn("__tm_row", F.monotonically_increasing_id()))
+                words.add(tokens[rare], row_of(rare))
+                start, stop, _ = rows.indices(b.num_rows)
+                sums = [np.add.reduceat(x, bounds[:-1]) for x in (known.astype(np.int64), base, more)]
+                yield texts([b.column(i).slice(start, stop - start) for i in range(1, b.num_columns)], [pa.array(x) for x in (np.diff(bounds), *sums)])
+                for own in (words, rare_grams):
+                    if own.held >= 2 * GATHER:
+                        yield from asks(own)
+        for own in (words, rare_grams):
+            yield from asks(own)
+
+    both = Scratch(spark, "lm-rows").table(sent.mapInArrow(run, schema))
+    rows = both.where("p IS NULL").select(*[F.col(f"keep{i}").alias(c) for i, c in enumerate(keep)], F.col("row").alias("__tm_row"), *[F.col(n).alias(f"__tm_{n}") for n in figures])
+    tables = _packed_table(learned.words.where(~in_words).select("k", F.col("c").cast("double"), "a"), 0, parts).unionByName(_packed_table(rest.select("k", "w"), 1, parts))
     # a row per text and distinct key: a word that no table holds can be frequent
-    asked = lambda c: rows.select("__tm_row", F.explode(F.arrays_zip(F.col(f"__tm_{c}").alias("k"), F.col(f"__tm_{c}_m").alias("m"))).alias("a")).select("__tm_row", "a.k", "a.m")
-    log_p = F.log((F.coalesce("c", F.lit(0)) + F.lit(ALPHA)) / F.lit(z))
-    words = asked("words").join(learned.words.where(~in_words), "k", "left").select(
-        "__tm_row", F.when(F.col("c").isNotNull(), F.col("m")).otherwise(0).alias("known"), (F.col("m") * log_p).alias("base"), (F.col("m") * F.coalesce("a", F.lit(0.0))).alias("more")
-    )
-    grams_of = asked("grams").join(rest, "k").select("__tm_row", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (F.col("m") * F.col("w")).alias("more"))
-    sums = words.unionByName(grams_of).groupBy("__tm_row").agg(F.sum("known").alias("__tm_known2"), F.sum("base").alias("__tm_base2"), F.sum("more").alias("__tm_more2"))
+    met = both.where("p IS NOT NULL").select(*packed.names).unionByName(tables).repartitionById(parts, "p")
+    answers = met.mapInArrow(_answers(z), "row long, known long, base double, more double")
+    sums = answers.groupBy(F.col("row").alias("__tm_row")).agg(F.sum("known").alias("__tm_known2"), F.sum("base").alias("__tm_base2"), F.sum("more").alias("__tm_more2"))
     plus = lambda a, b, zero: F.col(a) + F.coalesce(b, F.lit(zero))
     base = plus("__tm_base", "__tm_base2", 0.0)
     return rows.join(sums, "__tm_row", "left").select(
