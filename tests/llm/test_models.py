@@ -118,6 +118,34 @@ def test_score_equals_a_plain_suffix_tree(spark, monkeypatch, room):
         assert r["n_known"] == sum(w in tree.words for w in tokens(asked[r["doc_id"]]))
 
 
+@pytest.mark.parametrize("length", [2, 3, 4, 5])
+def test_numbers_of_ngrams_give_back_their_parts(length):
+    rng = np.random.default_rng(length)
+    keys, places, at = rng.integers(0, 1 << 63, 300, dtype=np.uint64), rng.integers(-1, 300, 1000), np.arange(length - 1, 1000)
+    named = lm_scoring.Named(keys, length)
+    some, numbers = named.of(places, at)
+    parts = [keys[places[at[some] - j]] for j in reversed(range(length))]
+    while len(parts) > 2:
+        parts = [lm_scoring.joined_key(x, y) for x, y in zip(parts, parts[1:])]
+    assert 0 < some.sum() < len(at) and all((x == y).all() for x, y in zip(named.parts(numbers), parts, strict=True))
+    steps = lm_scoring._planes(np.diff(numbers >> named.shift, prepend=np.uint64(0)))
+    assert (np.cumsum(lm_scoring._unplaned(steps, np.uint64), dtype=np.uint64) << named.shift == numbers).all()
+
+
+def test_tasks_exchange_packed_rows():
+    """What a task counts or asks is a row for each range of keys, not for each key."""
+    asked = lm_scoring._Asked(1, 8)
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2)
+    asked.add(np.repeat(keys, 2), np.repeat(np.arange(5000) + (1 << 33), 2))
+    rows = asked.packed()
+    assert len(rows) <= 8 and asked.held == 0
+    got = {}
+    for _, _, first, k, r, m in rows:
+        for x in zip(np.cumsum(lm_scoring._unplaned(k, np.uint64), dtype=np.uint64).tolist(), (lm_scoring._unplaned(r, np.uint32).astype(np.int64) + first).tolist(), lm_scoring._unplaned(m, np.uint32).tolist()):
+            got[x[:2]] = got.get(x[:2], 0) + x[2]
+    assert got == {(k, (1 << 33) + i): 2 for i, k in enumerate(keys.tolist())}
+
+
 def test_next_token_probabilities_of_the_tree_sum_to_one():
     tree = SuffixTree(sentences(random.Random(7)), lm_scoring.DEPTH, lm_scoring.MIN_COUNT)
     for context in [*list(tree.kept)[:200], ("unseen",), ("w0", "alpha")]:

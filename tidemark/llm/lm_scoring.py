@@ -66,6 +66,8 @@ _UNSTEP = np.uint64(pow(int(_STEP), -1, 1 << 64))
 #: Bits of a frequent word's place in an n-gram's number; tokens for each task that sums n-grams.
 HEAD_BITS = 18
 TASK_TOKENS = 1 << 21
+#: Rows whose answers are summed in one place, as a power of two.
+ROW_BLOCK = 8
 
 
 class HashIndex:
@@ -470,8 +472,8 @@ def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["p", "kind", "first", "keys", "rows", "times"])
 
 
-def _answers(z: float) -> Callable:
-    """Map function over asked keys and tables of one range: (row, known, base, more), summed by row as far as they meet here."""
+def _answers(z: float, parts: int) -> Callable:
+    """Map function over asked keys and tables of one range: row, known, base and more, summed by row as far as they meet here, packed by ranges of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, asked = {0: [], 1: []}, []
@@ -493,25 +495,48 @@ def _answers(z: float) -> Callable:
             at, m = index.find(np.cumsum(_unplaned(keys, np.uint64), dtype=np.uint64)), _unplaned(times, np.uint32).astype(np.int64)
             row, none = _unplaned(rows, np.uint32).astype(np.int64) + first, np.zeros(len(m))
             if kind == 0:
-                parts = [row, m * (at >= 0), m * np.log((values[0][at] + ALPHA) / z), m * values[1][at]]
+                own = [row, m * (at >= 0), m * np.log((values[0][at] + ALPHA) / z), m * values[1][at]]
             else:
                 some = at >= 0
-                parts = [row[some], none[some].astype(np.int64), none[some], (m * values[0][at])[some]]
-            for to, x in zip(sums, parts, strict=True):
+                own = [row[some], none[some].astype(np.int64), none[some], (m * values[0][at])[some]]
+            for to, x in zip(sums, own, strict=True):
                 to.append(x)
-        if not asked:
-            return
-        row, known, base, more = (np.concatenate(x) for x in sums)
-        if len(row):
-            order = np.argsort(row, kind="stable")
-            heads = np.flatnonzero(np.append(True, np.diff(row[order]) != 0))
-            columns = [row[order][heads], *(np.add.reduceat(x[order], heads) for x in (known, base, more))]
-            for i in range(0, len(heads), 1 << 17):
-                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 17)]) for c in columns], names=["row", "known", "base", "more"])
+        if asked:
+            row, known, base, more = _by_row(*(np.concatenate(x) for x in sums))
+            block = mix64((row >> ROW_BLOCK).astype(np.uint64))
+            order = np.argsort(block, kind="stable")  # rows of a block stay in order
+            some, cuts = _ranges(block[order], parts)
+            rows = []
+            for i in some:
+                at = order[cuts[i] : cuts[i + 1]]
+                rows.append((int(i), 2, None, _planes(np.diff(row[at], prepend=np.int64(0))), _planes(known[at]) + _planes(base[at]), _planes(more[at])))
+            yield _packed_batch(rows)
 
     return run
 
 
+def _by_row(row: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows in order, and the values summed by them."""
+    order = np.argsort(row, kind="stable")
+    row = row[order]
+    heads = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+    return [row[heads], *(np.add.reduceat(x[order], heads) if len(heads) else x for x in values)]
+
+
+def _sum_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, known, base, more) of packed answers, summed by row; all answers to a row have met here."""
+    held = [[], [], [], []]
+    for b in batches:
+        for keys, rows, more in zip(*(b.column(i).to_pylist() for i in (3, 4, 5)), strict=True):
+            half = len(rows) // 2
+            for to, x in zip(held, (np.cumsum(_unplaned(keys, np.int64)), _unplaned(rows[:half], np.int64), _unplaned(rows[half:], np.float64), _unplaned(more, np.float64)), strict=True):
+                to.append(x)
+    if held[0]:
+        columns = _by_row(*(np.concatenate(x) for x in held))
+        for i in range(0, len(columns[0]), 1 << 17):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 17)]) for c in columns], names=["__tm_row", "__tm_known2", "__tm_base2", "__tm_more2"])
+
+
 def lm_scores(df: DataFrame, train: DataFrame, text: str = "text", depth: int = DEPTH, min_count: int = MIN_COUNT, keep: list[str] | None = None) -> DataFrame:
     """``df`` (its columns ``keep``, else all) with n_tokens, n_known, train_tokens, base_score and score (log10)."""
     outputs = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -582,8 +607,8 @@ def lm_scores(df: DataFrame, train: DataFrame, text: str = "text", depth: int =
     tables = _packed_table(learned.words.where(~in_words).select("k", F.col("c").cast("double"), "a"), 0, parts).unionByName(_packed_table(rest.select("k", "w"), 1, parts))
     # a row per text and distinct key: a word that no table holds can be frequent
     met = both.where("p IS NOT NULL").select(*packed.names).unionByName(tables).repartitionById(parts, "p")
-    answers = met.mapInArrow(_answers(z), "row long, known long, base double, more double")
-    sums = answers.groupBy(F.col("row").alias("__tm_row")).agg(F.sum("known").alias("__tm_known2"), F.sum("base").alias("__tm_base2"), F.sum("more").alias("__tm_more2"))
+    answers = met.mapInArrow(_answers(z, parts), _PACKED).repartitionById(parts, "p")
+    sums = answers.mapInArrow(_sum_answers, "__tm_row long, __tm_known2 long, __tm_base2 double, __tm_more2 double")
     plus = lambda a, b, zero: F.col(a) + F.coalesce(b, F.lit(zero))
     base = plus("__tm_base", "__tm_base2", 0.0)
     return rows.join(sums, "__tm_row", "left").select(
